@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pricelake.functions import blank_to_null, finite, is_blank, normalise, parse_arrival_date
+from pricelake.functions import blank_to_null, is_blank, normalise, parse_arrival_date
 from pricelake.schema import CLEAN_COLUMNS, CORRUPT_COLUMN, CRITICAL_FIELDS, PRICE_FIELDS, TEXT_FIELDS, Config
 
 # Reject reasons, in the order the rules are applied; a row is charged to the first rule it fails.
@@ -44,13 +44,22 @@ def prices_valid() -> Column:
 
 
 def prices_finite() -> Column:
-    """NaN and infinity pass ``> 0``; they are rejected separately."""
+    """NaN and +infinity pass ``> 0``; they are rejected separately.
+
+    Spark orders NaN above +infinity, so ``x < +inf`` is false for both; -inf
+    already fails ``> 0``.
+    """
     cond = F.lit(True)
     for c in PRICE_FIELDS:
-        cond = cond & finite(F.col(c).try_cast("double"))
+        cond = cond & (F.col(c).try_cast("double") < F.lit(float("inf")))
     return cond
 
 
+def year_allowed(year: Column, cfg: Config) -> Column:
+    """Year within [min_year, max_year], written as a set test so the date is parsed once per row."""
+    return year.isin(list(range(cfg.min_year, cfg.max_year + 1)))
+
+
 def reject_reason(cfg: Config, has_corrupt: bool = False) -> Column:
     """First failing rule for a raw row, null for a row that is kept."""
     parsed = parse_arrival_date("arrival_date", cfg.date_format)
@@ -59,7 +68,7 @@ def reject_reason(cfg: Config, has_corrupt: bool = False) -> Column:
         .when(~F.coalesce(prices_valid(), F.lit(False)), F.lit(INVALID_PRICE))
         .when(~prices_finite(), F.lit(NON_FINITE_PRICE))
         .when(parsed.isNull(), F.lit(BAD_DATE))
-        .when(~F.year(parsed).between(cfg.min_year, cfg.max_year), F.lit(YEAR_OUT_OF_RANGE))
+        .when(~year_allowed(F.year(parsed), cfg), F.lit(YEAR_OUT_OF_RANGE))
     )
     if has_corrupt:
         expr = F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit(MALFORMED)).otherwise(expr)
@@ -112,7 +121,7 @@ def _keep(cfg: Config) -> Column:
         critical_present()
         & F.coalesce(prices_valid(), F.lit(False))
         & prices_finite()
-        & F.year(parsed).between(cfg.min_year, cfg.max_year)
+        & year_allowed(F.year(parsed), cfg)
     )
 
 
@@ -167,22 +176,22 @@ def audit_totals(audit: DataFrame) -> DataFrame:
 def clean_with_observation(df: DataFrame, cfg: Config, name: str = "clean_audit") -> tuple[DataFrame, Observation]:
     """Cleaned rows plus an :class:`Observation` that fills in the audit counts.
 
-    The counts are collected by the same job that consumes the cleaned frame
-    (for example the Parquet write), so the raw data is read once.
+    The reject reason is computed once per row as a column; the counts are
+    collected by the same job that consumes the cleaned frame (for example the
+    Parquet write), and the kept rows are those with no reason -- the raw data
+    is read once and every rule is evaluated once.
     """
     obs = Observation(name)
-    reason = reject_reason(cfg, CORRUPT_COLUMN in df.columns)
+    tagged = df.withColumn("_reason", reject_reason(cfg, CORRUPT_COLUMN in df.columns))
+    reason = F.col("_reason")
     metrics = [F.count(F.lit(1)).alias("raw_count")]
     metrics += [F.count_if(reason == F.lit(r)).alias(r) for r in REJECT_REASONS]
     metrics.append(F.count_if(reason.isNull()).alias(KEPT))
     # Warning only: modal price outside [min, max] is kept.
-    metrics.append(
-        F.count_if(reason.isNull() & ((F.col("modal_price") < F.col("min_price")) | (F.col("modal_price") > F.col("max_price")))).alias(
-            "modal_outside_range"
-        )
-    )
-    observed = df.observe(obs, *metrics)
-    return clean_records(observed, cfg), obs
+    outside = (F.col("modal_price") < F.col("min_price")) | (F.col("modal_price") > F.col("max_price"))
+    metrics.append(F.count_if(reason.isNull() & outside).alias("modal_outside_range"))
+    kept = tagged.observe(obs, *metrics).filter(reason.isNull())
+    return kept.select(*_clean_projection(cfg)).select(*CLEAN_COLUMNS), obs
 
 
 __all__ = [

@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
+    # HotSpot does not JIT-compile methods over 8000 bytecode bytes; a fused
+    # stage above that runs interpreted and is slower than no fusion at all.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
