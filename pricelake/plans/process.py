@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.operators.clean import clean_with_observation
+from pricelake.operators.clean import KEPT, REJECT_REASONS, clean_audit, clean_records, clean_with_observation
 from pricelake.schema import CORRUPT_COLUMN, RAW_FIELDS, Config
 from pricelake.sources.csv import read_raw_csv_with_corrupt
 from pricelake.sources.parquet import write_processed
@@ -45,10 +45,18 @@ def run_process(
     """
     raw = read_raw_csv_with_corrupt(spark, raw_path)
     if sample_rows is not None:
-        raw = raw.limit(sample_rows)
-    cleaned, obs = clean_with_observation(raw, cfg)
-    write_processed(cleaned, processed_path, dynamic_overwrite=dynamic_overwrite)
-    metrics = dict(obs.get)
+        # Smoke run: the first N rows (not a random sample) are cached so the
+        # audit and the write see the same rows; N bounds the cache.
+        raw = raw.limit(sample_rows).cache()
+        audit = clean_audit(raw, cfg).collect()  # at most one row per reject reason
+        metrics = {r: 0 for r in (*REJECT_REASONS, KEPT)}
+        metrics.update({row["reject_reason"]: row["record_count"] for row in audit})
+        metrics["raw_count"] = sum(row["record_count"] for row in audit)
+        write_processed(clean_records(raw, cfg), processed_path, dynamic_overwrite=dynamic_overwrite)
+    else:
+        cleaned, obs = clean_with_observation(raw, cfg)
+        write_processed(cleaned, processed_path, dynamic_overwrite=dynamic_overwrite)
+        metrics = dict(obs.get)
     if quarantine_path:
         bad = raw.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(*RAW_FIELDS, CORRUPT_COLUMN)
         bad.write.mode("overwrite").parquet(quarantine_path)
