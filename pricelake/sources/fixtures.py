@@ -34,9 +34,20 @@ def _k(n: int) -> Column:
     return (F.col("k") % F.lit(n)) == F.lit(0)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A Parquet file splits only at row-group boundaries, so a file written as
+    one row group is read by one task. On a large input the scan already has
+    more splits than cores and this is a no-op (no shuffle is added).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw price records with their key ``k`` and the clean nation name."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem")).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"),
         "l_partkey",
         "l_suppkey",
