@@ -14,6 +14,7 @@ import argparse
 import json
 import sys
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.constants import MSP_2024
@@ -24,7 +25,7 @@ from pricelake.session import build_session
 from pricelake.sources.csv import land_raw_csv
 from pricelake.sources.inventory import landing_inventory
 from pricelake.sources.pages import flatten_pages, read_pages
-from pricelake.sources.parquet import read_processed, sample_records
+from pricelake.sources.parquet import read_processed, sample_records, write_processed
 from pricelake.streaming.landing import run_clean_stream
 
 
@@ -72,6 +73,7 @@ def main(argv: list[str] | None = None) -> int:
     iv.add_argument("--root", required=True)
 
     args = p.parse_args(argv)
+    owns_session = SparkSession.getActiveSession() is None
     spark = build_session(args.master, app_name=f"pricelake-{args.job}")
     cfg = _config(args)
 
@@ -82,9 +84,10 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "analyze":
         processed, results = args.processed, args.results
         if args.sample:
-            sampled = sample_records(read_processed(spark, processed))
-            processed = processed.rstrip("/") + "_analyze_sample"
-            sampled.write.mode("overwrite").partitionBy("year", "state").parquet(processed)
+            full = read_processed(spark, processed)
+            if full.limit(10_001).count() > 10_000:  # small tables are analysed whole
+                processed = processed.rstrip("/") + "_analyze_sample"
+                write_processed(sample_records(full), processed)
             results = results.rstrip("/") + "_sample"
         out = run_analyze(spark, processed, results, cfg, args.geojson, MSP_2024 if args.msp else None)
         print(json.dumps(out))
@@ -95,7 +98,8 @@ def main(argv: list[str] | None = None) -> int:
         land_raw_csv(rows, args.landing, partition_col="state_partition", key=F.nullif(F.trim("state"), F.lit("")), mode="append")
     elif args.job == "inventory":
         landing_inventory(spark, args.root).orderBy("partition").show(1000, truncate=False)
-    spark.stop()
+    if owns_session:
+        spark.stop()
     return 0
 
 
