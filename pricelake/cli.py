@@ -21,7 +21,7 @@ from pricelake.constants import MSP_2024
 from pricelake.plans.analyze import run_analyze
 from pricelake.plans.process import run_process
 from pricelake.schema import Config
-from pricelake.session import build_session
+from pricelake.session import build_session, scale_conf
 from pricelake.sources.csv import land_raw_csv
 from pricelake.sources.inventory import landing_inventory
 from pricelake.sources.pages import flatten_pages, read_pages
@@ -43,6 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit / environment)")
     p.add_argument("--min-year", type=int, default=None)
     p.add_argument("--max-year", type=int, default=None)
+    p.add_argument("--input-gb", type=float, default=None, help="input size; sizes scan splits and shuffle width")
     sub = p.add_subparsers(dest="job", required=True)
 
     pr = sub.add_parser("process")
@@ -74,7 +75,8 @@ def main(argv: list[str] | None = None) -> int:
 
     args = p.parse_args(argv)
     owns_session = SparkSession.getActiveSession() is None
-    spark = build_session(args.master, app_name=f"pricelake-{args.job}")
+    extra = scale_conf(int(args.input_gb * (1 << 30))) if args.input_gb else None
+    spark = build_session(args.master, app_name=f"pricelake-{args.job}", extra_conf=extra)
     cfg = _config(args)
 
     if args.job == "process":

@@ -23,6 +23,25 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of input.
+
+    Scan splits of ``target_partition_bytes``; the initial shuffle width is the
+    input size over the same target (at least 200), so no reducer starts with
+    more than a few hundred MB even before AQE coalesces small partitions and
+    splits skewed ones (a partition over 4x the median and 512 MB is split).
+    At 100 TB this gives ~400k initial shuffle partitions.
+    """
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "pricelake",

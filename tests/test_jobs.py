@@ -55,3 +55,13 @@ def test_cli_process_sample_writes_elsewhere(spark, tmp_dir):
     _land(spark, landing)
     assert cli_main(["--min-year", "2013", "--max-year", "2025", "process", "--raw", landing, "--out", out, "--sample", "2"]) == 0
     assert os.path.isdir(out + "_sample") and not os.path.exists(out)
+
+
+def test_scale_conf_sizes_partitions():
+    from pricelake.session import scale_conf
+
+    small = scale_conf(10 << 30)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    big = scale_conf(100 << 40)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
