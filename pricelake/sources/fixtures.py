@@ -34,6 +34,12 @@ def _k(n: int) -> Column:
     return (F.col("k") % F.lit(n)) == F.lit(0)
 
 
+def _ddmmyyyy(c: str) -> Column:
+    """``dd/MM/yyyy`` text from the calendar fields (no time-zone conversion of the timestamp)."""
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    return F.concat_ws("/", two(F.dayofmonth(c)), two(F.month(c)), F.year(c).cast("string"))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer splits than the cluster has cores.
 
@@ -87,7 +93,7 @@ def raw_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_k(97), F.lit("2000-01-31"))
         .when(_k(107), F.lit("31/02/2000"))
         .when(_k(109), F.lit(None).cast("string"))
-        .otherwise(F.date_format("l_shipdate", "dd/MM/yyyy"))
+        .otherwise(_ddmmyyyy("l_shipdate"))
         .alias("arrival_date"),
         F.when(_k(89), F.lit(-1.0))
         .when(_k(83), gross + F.lit(1))
