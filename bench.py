@@ -21,10 +21,14 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark import SparkContext  # noqa: E402
+
+
 from pricelake.operators import arbitrage, clean, msp, shocks, summaries, trends  # noqa: E402
 from pricelake.plans import catalog  # noqa: E402
 from pricelake.plans.catalog import CFG, QUERIES  # noqa: E402
@@ -39,12 +43,45 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(fn) -> float:
+def timed(fn, label: str | None = None) -> float:
+    """Seconds for ``fn``; jobs it starts carry ``label`` as their description (for the event log)."""
+    sc = SparkContext._active_spark_context
+    if label and sc is not None:
+        sc.setJobDescription(label)
     t0 = time.perf_counter()
     fn()
+    if label and sc is not None:
+        sc.setJobDescription(None)
     return round(time.perf_counter() - t0, 3)
 
 
+def bytes_read_by_label(log_dir: str) -> dict[str, int]:
+    """Sum of task input bytes per job description, from Spark's JSON event log."""
+    stage_label, out = {}, {}
+    paths = sorted(
+        os.path.join(root, name)
+        for root, _, names in os.walk(log_dir)
+        for name in names
+        if not name.startswith(".") and not name.startswith("appstatus")
+    )
+    for path in paths:
+        with open(path) as f:
+            for line in f:
+                e = json.loads(line)
+                kind = e.get("Event")
+                if kind == "SparkListenerJobStart":
+                    label = (e.get("Properties") or {}).get("spark.job.description")
+                    for sid in e.get("Stage IDs", []):
+                        stage_label[sid] = label
+                elif kind == "SparkListenerTaskEnd":
+                    label = stage_label.get(e.get("Stage ID"))
+                    metrics = e.get("Task Metrics") or {}
+                    n = (metrics.get("Input Metrics") or {}).get("Bytes Read", 0)
+                    if label:
+                        out[label] = out.get(label, 0) + n
+    return out
+
+
 def analytic_suite(spark, df):
     msp_df = msp.msp_frame(spark, fx.FIXTURE_MSP)
     return {
@@ -64,36 +101,49 @@ def analytic_suite(spark, df):
     }
 
 
-def production_pass(spark, sf_dir: str) -> tuple[dict[str, float], dict]:
+def production_pass(spark, sf_dir: str, tag: str) -> tuple[dict[str, float], dict]:
     """Land raw CSV, run the cleaning job, audit, then every market question on the processed table."""
     times: dict[str, float] = {}
     landing = scratch_path(spark, "bench-landing")
     processed = scratch_path(spark, "bench-processed")
     times["land_raw_csv"] = timed(lambda: csv_src.land_raw_csv(fx.raw_records(spark, sf_dir), landing, key=fx.landing_key()))
     t0 = time.perf_counter()
+    spark.sparkContext.setJobDescription(f"{tag}process")
     result = run_process(spark, landing, processed, CFG)
+    spark.sparkContext.setJobDescription(None)
     times["process"] = round(time.perf_counter() - t0, 3)
     raw_csv = csv_src.read_raw_csv_with_corrupt(spark, landing)
-    times["clean_audit"] = timed(lambda: run(clean.clean_audit(raw_csv, CFG)))
-    for name, build in analytic_suite(spark, read_processed(spark, processed)).items():
-        times[name] = timed(lambda b=build: run(b()))
+    times["clean_audit"] = timed(lambda: run(clean.clean_audit(raw_csv, CFG)), f"{tag}clean_audit")
+    df = read_processed(spark, processed)
+    for name, build in analytic_suite(spark, df).items():
+        times[name] = timed(lambda b=build: run(b()), f"{tag}{name}")
+    times["monthly_price_trend.no_year_predicate"] = timed(
+        lambda: run(trends.monthly_price_trend(df, CFG, prune_years=False)), f"{tag}monthly_price_trend.no_year_predicate"
+    )
     return times, result.metrics
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    log_dir = tempfile.mkdtemp(prefix="pricelake-bench-events-")
     spark = build_session(
         f"local[{cpus}]",
         app_name="pricelake-bench",
         shuffle_partitions=max(2 * cpus, 8),
-        extra_conf={"spark.driver.memory": "16g", "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)},
+        extra_conf={
+            "spark.driver.memory": "16g",
+            "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": log_dir,
+            "spark.eventLog.compress": "false",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
 
     # Pass 1 warms the JVM (class loading, JIT, codegen caches); pass 2 is reported.
-    cold, _ = production_pass(spark, sf_dir)
-    times, metrics = production_pass(spark, sf_dir)
+    cold, _ = production_pass(spark, sf_dir, "cold.")
+    times, metrics = production_pass(spark, sf_dir, "")
     raw_rows = int(metrics.get("raw_count", 0))
 
     # Registered (driver) queries: the cleaned table they share is built once first.
@@ -103,6 +153,8 @@ def main() -> None:
         times[f"registered.{name}"] = timed(lambda n=name: run(QUERIES[n](spark, sf_dir)))
 
     headline_keys = ["process", "clean_audit", *analytic_suite(spark, None)]
+    spark.stop()  # flushes the event log
+    read = bytes_read_by_label(log_dir)
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(
         json.dumps(
@@ -119,10 +171,10 @@ def main() -> None:
                 "raw_rows": raw_rows,
                 "clean_rows": int(metrics.get("kept", 0)),
                 "process_rows_per_sec": round(raw_rows / times["process"], 1) if times["process"] else None,
+                "bytes_read": {k: read.get(k, 0) for k in times if not k.startswith("registered.") and k != "land_raw_csv"},
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":

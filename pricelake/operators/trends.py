@@ -19,16 +19,17 @@ def trailing_cutoff(df: DataFrame, months: int = 12) -> Column:
     return df.select(F.add_months(F.max("arrival_date"), -months)).scalar()
 
 
-def trailing_window(df: DataFrame, cfg: Config | None = None) -> DataFrame:
+def trailing_window(df: DataFrame, cfg: Config | None = None, prune_years: bool = True) -> DataFrame:
     """Rows on or after the cut-off.
 
     The redundant ``year >=`` predicate lets a table partitioned by ``year``
-    skip whole directories (it shows up as a PartitionFilter on the scan).
+    skip whole directories (it shows up as a PartitionFilter on the scan);
+    ``prune_years=False`` leaves it out, for comparison.
     """
     cfg = cfg or Config()
     cutoff = trailing_cutoff(df, cfg.trailing_months)
     cond = F.col("arrival_date") >= cutoff
-    if "year" in df.columns:
+    if prune_years and "year" in df.columns:
         cond = (F.col("year") >= F.year(cutoff)) & cond
     return df.filter(cond)
 
@@ -37,10 +38,10 @@ def _year_month(year: str = "year", month: str = "month") -> Column:
     return F.format_string("%04d-%02d", F.col(year), F.col(month))
 
 
-def monthly_price_trend(df: DataFrame, cfg: Config | None = None) -> DataFrame:
+def monthly_price_trend(df: DataFrame, cfg: Config | None = None, prune_years: bool = True) -> DataFrame:
     """Q2: national monthly average modal price, oldest month first."""
     cfg = cfg or Config()
-    recent = trailing_window(df, cfg)
+    recent = trailing_window(df, cfg, prune_years)
     return (
         recent.groupBy("year", "month")
         .agg(
