@@ -175,3 +175,27 @@ def test_trailing_window_prunes_year_partitions(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(year" in buf.getvalue() and ">= year(Subquery" in buf.getvalue()
     assert trends.trailing_window(df, CFG).count() == 2
     assert df.filter(F.col("state").isNull()).count() == 0
+
+
+def _plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_skew_safe_plan_shapes(spark):
+    rows = [("A", "m", "Rice", D(2020, 1, 1 + i % 5), 1.0, 2.0, float(i + 1)) for i in range(20)]
+    df = clean_frame(spark, rows)
+    # Arbitrage: the national-average window runs over (state, commodity, day) aggregates, not rows.
+    plan = _plan(arbitrage.arbitrage_signal(df, CFG))
+    window_at = plan.index("Window [")
+    assert "HashAggregate" in plan[window_at:]
+    # Top-k commodities reach the fact side only as a broadcast semi-join of at most k rows.
+    plan = _plan(trends.monthly_price_by_commodity(df, CFG))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "TakeOrderedAndProject" in plan
+    # Processed write: rebalance on the partition columns (AQE splits a hot state).
+    from pricelake.sources.parquet import PARTITION_COLUMNS, SORT_COLUMNS
+
+    laid = df.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*PARTITION_COLUMNS, *SORT_COLUMNS)
+    assert "RebalancePartitions" in laid._jdf.queryExecution().analyzed().toString()
