@@ -84,3 +84,32 @@ def test_cleaning_matches_rules(spark, data):
     got = sorted(map(tuple, clean.clean_records(df, CFG).collect()), key=repr)
     want = sorted((expected_clean(r) for r in data if expected_reason(r) is None), key=repr)
     assert got == want
+
+
+FIELDS = ["state", "district", "market", "commodity", "variety", "grade", "arrival_date", "min_price", "max_price", "modal_price"]
+keys = st.sampled_from(FIELDS + [f.replace("_", "") for f in FIELDS] + ["extra", "Arrival_Date"])
+records = st.dictionaries(keys, st.one_of(st.none(), st.sampled_from(["", "x", "7", "01/02/2000", "a,b"])), max_size=12)
+
+
+def expected_row(rec):
+    out = []
+    for f in FIELDS:
+        if f in rec:
+            out.append(rec[f] if rec[f] is not None else "")
+        else:
+            alias = f.replace("_", "")
+            out.append(rec.get(alias) if rec.get(alias) is not None else "")
+    return tuple(out)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(records, max_size=5), min_size=1, max_size=5))
+def test_flatten_pages_matches_key_rules(spark, pages_data):
+    import json
+
+    from pricelake.sources.pages import flatten_pages
+
+    pdf = spark.createDataFrame([(json.dumps({"records": p}),) for p in pages_data], "value string")
+    got = sorted(map(tuple, flatten_pages(pdf).collect()))
+    want = sorted(expected_row(r) for p in pages_data for r in p)
+    assert got == want
