@@ -15,8 +15,16 @@ def trailing_cutoff(df: DataFrame, months: int = 12) -> Column:
 
     ``add_months`` clamps to month end (31 Mar -> 28/29 Feb); the lower bound is
     inclusive, so twelve months usually span thirteen calendar months.
+
+    When the frame carries ``year`` (= year of the arrival date, the table's
+    partition column) the latest date is looked up in the latest year only:
+    ``max(year)`` needs no column data, so the subquery reads one year of
+    dates instead of the whole column.
     """
-    return df.select(F.add_months(F.max("arrival_date"), -months)).scalar()
+    latest = df
+    if "year" in df.columns:
+        latest = df.filter(F.col("year") == df.select(F.max("year")).scalar())
+    return latest.select(F.add_months(F.max("arrival_date"), -months)).scalar()
 
 
 def trailing_window(df: DataFrame, cfg: Config | None = None, prune_years: bool = True) -> DataFrame:
