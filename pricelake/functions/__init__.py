@@ -2,12 +2,11 @@
 
 from pricelake.functions.dates import parse_arrival_date, year_month
 from pricelake.functions.labels import fixed1, money_label, pct_label
-from pricelake.functions.numeric import finite, round_half_up
+from pricelake.functions.numeric import round_half_up
 from pricelake.functions.text import blank_to_null, is_blank, normalise
 
 __all__ = [
     "blank_to_null",
-    "finite",
     "fixed1",
     "is_blank",
     "money_label",

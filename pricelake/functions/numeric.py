@@ -16,8 +16,3 @@ def round_half_up(c: Column | str, places: int = 2) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return F.round(col.try_cast("decimal(38,10)"), places).cast("double")
 
-
-def finite(c: Column | str) -> Column:
-    """True for a non-null value that is neither NaN nor infinite."""
-    col = F.col(c) if isinstance(c, str) else c
-    return ~F.isnan(col) & (F.abs(col) < F.lit(float("inf")))

@@ -17,10 +17,6 @@ def partition_frame(spark: SparkSession, names: Iterable[str] = STATES, only: st
     return spark.createDataFrame(rows, "state string")
 
 
-def empty_manifest(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], MANIFEST_SCHEMA)
-
-
 def manifest_entries(landed: DataFrame, key: str = "state") -> DataFrame:
     """Manifest rows (state, rows, completed_at) from landed records: one row per partition."""
     return landed.groupBy(F.col(key).alias("state")).agg(
@@ -28,6 +24,21 @@ def manifest_entries(landed: DataFrame, key: str = "state") -> DataFrame:
     )
 
 
+def record_manifest(entries: DataFrame, path: str) -> None:
+    """Append completed partitions to the manifest table (one small file per run)."""
+    entries.select("state", "rows", "completed_at").coalesce(1).write.mode("append").parquet(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest table, or an empty one before the first run."""
+    try:
+        return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    except Exception as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
+            raise
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+
+
 def pending_partitions(partitions: DataFrame, manifest: DataFrame, require_rows: bool = True) -> DataFrame:
     """Partitions without a completed manifest entry.
 

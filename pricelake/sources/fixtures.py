@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 from pricelake.schema import RAW_FIELDS
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-
 # Year range of the generated dates (1995-2001); the reference window starts in 2013.
 FIXTURE_MIN_YEAR = 1996
 FIXTURE_MAX_YEAR = 2001

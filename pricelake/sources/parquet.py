@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pricelake.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, PARTITION_COLUMNS
 
@@ -61,7 +60,3 @@ def sample_records(df: DataFrame, fraction: float = 0.01, seed: int = 42) -> Dat
     """M2: Bernoulli sample for smoke runs (write its output to its own path)."""
     return df.sample(fraction=fraction, seed=seed)
 
-
-def year_partition_pruned(df: DataFrame, min_year: int) -> DataFrame:
-    """Filter on the partition column only (directory pruning)."""
-    return df.filter(F.col("year") >= min_year)

@@ -65,3 +65,25 @@ def test_scale_conf_sizes_partitions():
     big = scale_conf(100 << 40)
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+
+
+def test_cli_pages_ingest_and_inventory(spark, tmp_dir, capsys):
+    pages_dir = os.path.join(tmp_dir, "pages")
+    os.makedirs(pages_dir)
+    page = {"records": [
+        {"state": "Goa", "district": "d", "market": "m", "commodity": "Rice", "variety": "v", "grade": "g",
+         "arrivaldate": "01/02/2020", "min_price": "10", "max_price": "20", "modal_price": "15"},
+        {"state": "Assam", "market": "m", "commodity": "Gram", "arrival_date": "02/02/2020",
+         "min_price": "1", "max_price": "2", "modal_price": "1"},
+    ]}
+    with open(os.path.join(pages_dir, "page_0000.json"), "w") as f:
+        f.write(json.dumps(page) + "\n")
+    landing = os.path.join(tmp_dir, "landing")
+    assert cli_main(["pages", "--pages", pages_dir, "--landing", landing]) == 0
+    assert sorted(d for d in os.listdir(landing) if d.startswith("state_partition=")) == [
+        "state_partition=Assam", "state_partition=Goa"]
+    out, ckpt = os.path.join(tmp_dir, "processed"), os.path.join(tmp_dir, "ckpt")
+    assert cli_main(["--min-year", "2013", "--max-year", "2025", "ingest", "--landing", landing, "--out", out, "--checkpoint", ckpt]) == 0
+    assert sorted(r.state for r in read_processed(spark, out).collect()) == ["Assam", "Goa"]
+    assert cli_main(["inventory", "--root", landing]) == 0
+    assert "state_partition=Goa" in capsys.readouterr().out

@@ -120,3 +120,32 @@ def test_pending_partitions_zero_rows_stay_pending(spark):
     assert [r.state for r in ingest.pending_partitions(parts, manifest, require_rows=False).collect()] == ["Bihar"]
     assert ingest.partition_frame(spark, only="Punjab").count() == 1
     assert ingest.partition_frame(spark).count() == 37
+
+
+def test_manifest_roundtrip_drives_pending(spark, tmp_dir):
+    import os
+
+    path = os.path.join(tmp_dir, "manifest")
+    parts = ingest.partition_frame(spark, ["Goa", "Assam"])
+    assert ingest.read_manifest(spark, path).count() == 0
+    assert ingest.pending_partitions(parts, ingest.read_manifest(spark, path)).count() == 2
+    landed = spark.createDataFrame([("Goa",), ("Goa",)], "state string")
+    ingest.record_manifest(ingest.manifest_entries(landed), path)
+    m = ingest.read_manifest(spark, path).collect()
+    assert [(r.state, r.rows) for r in m] == [("Goa", 2)]
+    assert [r.state for r in ingest.pending_partitions(parts, ingest.read_manifest(spark, path)).collect()] == ["Assam"]
+
+
+def test_chart_feeds(spark):
+    from pricelake.sources.parquet import register_view
+
+    top = spark.createDataFrame([("Rice", 5, 1.0), ("Gram", 2, 3.0)], "commodity string, record_count long, avg_modal_price double")
+    assert [r.commodity for r in feeds.top_commodities_feed(top).collect()] == ["Gram", "Rice"]
+    trend = spark.createDataFrame([(2020, 2, "2020-02", 2.0, 1), (2020, 1, "2020-01", 1.0, 1)],
+                                  "year int, month int, year_month string, avg_modal_price double, record_count long")
+    assert [r.year_month for r in feeds.price_trend_feed(trend).collect()] == ["2020-01", "2020-02"]
+    ineff = spark.createDataFrame([("A", "m", 1, 2.0, 3.0, 4.0)],
+                                  "state string, market string, record_count long, avg_price_spread double, avg_spread_pct double, avg_modal_price double")
+    assert feeds.inefficiency_feed(ineff).columns[:2] == ["state", "market"]
+    register_view(top, "price_records_test")
+    assert spark.sql("SELECT SUM(record_count) AS n FROM price_records_test").collect()[0].n == 7
