@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import hashlib
+import inspect
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -54,12 +55,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _code_version() -> str:
+    """Hash of the modules that decide the cleaned table's contents and layout."""
+    import pricelake.functions as functions_pkg
+
+    mods = [fx, clean, pq, *(getattr(functions_pkg, n) for n in ("dates", "labels", "numeric", "text"))]
+    return hashlib.sha1("".join(inspect.getsource(m) for m in mods).encode()).hexdigest()[:12]
+
+
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Sizes and modification times of the source files (one small aggregate, no file contents)."""
+    """Source files' sizes and times (one small aggregate, no file contents), config and code version."""
     paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in _SOURCE_TABLES]
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     stats = files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first()
-    return hashlib.sha1(repr((sf_dir, tuple(stats), CFG)).encode()).hexdigest()[:16]
+    return hashlib.sha1(repr((sf_dir, tuple(stats), CFG, _code_version())).encode()).hexdigest()[:16]
 
 
 def materialize_processed(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
