@@ -22,12 +22,15 @@ def land_raw_csv(df: DataFrame, path: str, partition_col: str = "src_state", key
     """Write raw rows as CSV files under ``<partition_col>=<value>/``.
 
     The partition value is a *copy* of the state (``key``, default the raw
-    state) so the state stays inside every file as well. Rows are not
-    shuffled: each task writes its own files per partition it holds.
+    state) so the state stays inside every file as well. A ``rebalance`` on
+    the partition value sends each state's rows to few tasks, so a directory
+    gets a few large files rather than one file per input task, while AQE
+    still splits a state that holds a large share of the rows.
     """
     key = F.col("state") if key is None else key
     (
         df.select(*RAW_FIELDS, key.alias(partition_col))
+        .hint("rebalance", partition_col)
         .write.mode(mode)
         .options(**_WRITE_OPTIONS)
         .partitionBy(partition_col)
