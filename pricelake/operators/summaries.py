@@ -27,24 +27,57 @@ def commodity_counts(df: DataFrame) -> DataFrame:
 
 
 def top_commodity_names(df: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` most frequent commodities (one column, at most ``k`` rows)."""
-    return _top(commodity_counts(df), k, F.desc("record_count"), F.asc("commodity")).select("commodity")
+    """The ``k`` most frequent commodities (one column, at most ``k`` rows).
 
+    ``df`` is either price records or a :func:`commodity_stats` table.
+    """
+    counts = df if "pos_count" in df.columns else commodity_counts(df)
+    return _top(counts, k, F.desc("record_count"), F.asc("commodity")).select("commodity")
 
-def top_commodities(df: DataFrame, cfg: Config | None = None, k: int | None = None) -> DataFrame:
-    """Q1: most-recorded commodities with average / min / max modal price."""
-    cfg = cfg or Config()
-    k = cfg.top_commodities_k if k is None else k
-    agg = (
+
+def commodity_stats(df: DataFrame) -> DataFrame:
+    """One aggregation per commodity feeding Q1, Q3's top-k list and Q5.
+
+    All-row statistics (Q1) and statistics over positive modal prices (Q5)
+    are computed side by side, so a job that needs all three reads the table
+    once. One row per commodity; unrounded.
+    """
+    pos = F.when(F.col("modal_price") > 0, F.col("modal_price"))
+    return (
         df.filter(F.col("commodity").isNotNull())
         .groupBy("commodity")
         .agg(
             F.count(F.lit(1)).alias("record_count"),
-            round_half_up(F.avg("modal_price")).alias("avg_modal_price"),
-            round_half_up(F.min("modal_price")).alias("min_modal_price"),
-            round_half_up(F.max("modal_price")).alias("max_modal_price"),
+            F.avg("modal_price").alias("avg_all"),
+            F.min("modal_price").alias("min_all"),
+            F.max("modal_price").alias("max_all"),
+            F.count(pos).alias("pos_count"),
+            F.avg(pos).alias("pos_avg"),
+            F.stddev_samp(pos).alias("pos_sd"),
+            F.min(pos).alias("pos_min"),
+            F.max(pos).alias("pos_max"),
         )
     )
+
+
+def _stats(df: DataFrame) -> DataFrame:
+    return df if "pos_count" in df.columns else commodity_stats(df)
+
+
+def top_commodities(df: DataFrame, cfg: Config | None = None, k: int | None = None) -> DataFrame:
+    """Q1: most-recorded commodities with average / min / max modal price.
+
+    ``df`` is either price records or a :func:`commodity_stats` table.
+    """
+    cfg = cfg or Config()
+    k = cfg.top_commodities_k if k is None else k
+    agg = _stats(df).select(
+        "commodity",
+        "record_count",
+        round_half_up("avg_all").alias("avg_modal_price"),
+        round_half_up("min_all").alias("min_modal_price"),
+        round_half_up("max_all").alias("max_modal_price"),
+    )
     return _top(agg, k, F.desc("record_count"), F.asc("commodity"))
 
 
@@ -83,24 +116,25 @@ def top_states(df: DataFrame, cfg: Config | None = None, k: int | None = None) -
 def price_volatility(df: DataFrame, cfg: Config | None = None, k: int | None = None) -> DataFrame:
     """Q5: sample standard deviation and coefficient of variation of modal price per commodity.
 
-    A single-row commodity has no sample deviation; it reports 0.0.
+    Only positive modal prices count. A single-row commodity has no sample
+    deviation; it reports 0.0. ``df`` is price records or a
+    :func:`commodity_stats` table.
     """
     cfg = cfg or Config()
     k = cfg.volatility_k if k is None else k
-    sd = F.stddev_samp("modal_price")
-    mean = F.avg("modal_price")
+    sd, mean = F.col("pos_sd"), F.col("pos_avg")
     agg = (
-        df.filter(F.col("commodity").isNotNull() & (F.col("modal_price") > 0))
-        .groupBy("commodity")
-        .agg(
-            F.count(F.lit(1)).alias("record_count"),
+        _stats(df)
+        .filter(F.col("pos_count") >= max(cfg.min_records, 1))
+        .select(
+            "commodity",
+            F.col("pos_count").alias("record_count"),
             round_half_up(mean).alias("avg_modal_price"),
             round_half_up(F.coalesce(sd, F.lit(0.0))).alias("stddev_modal_price"),
             round_half_up(F.coalesce(sd / mean * F.lit(100), F.lit(0.0))).alias("coeff_variation_pct"),
-            round_half_up(F.min("modal_price")).alias("min_price_ever"),
-            round_half_up(F.max("modal_price")).alias("max_price_ever"),
+            round_half_up("pos_min").alias("min_price_ever"),
+            round_half_up("pos_max").alias("max_price_ever"),
         )
-        .filter(F.col("record_count") >= cfg.min_records)
     )
     return _top(agg, k, F.desc("stddev_modal_price"), F.asc("commodity"))
 

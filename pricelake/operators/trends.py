@@ -67,14 +67,15 @@ def monthly_price_trend(df: DataFrame, cfg: Config | None = None, prune_years: b
     )
 
 
-def monthly_price_by_commodity(df: DataFrame, cfg: Config | None = None) -> DataFrame:
+def monthly_price_by_commodity(df: DataFrame, cfg: Config | None = None, stats: DataFrame | None = None) -> DataFrame:
     """Q3: monthly average per top-k commodity (top-k over all dates, then the trailing window).
 
     The top-k list is a semi-join against a frame of at most ``k`` rows, so it
     is broadcast without a size check and the fact side is never shuffled for it.
+    A precomputed :func:`commodity_stats` table can supply the list.
     """
     cfg = cfg or Config()
-    top = F.broadcast(top_commodity_names(df, cfg.top_commodities_k))
+    top = F.broadcast(top_commodity_names(df if stats is None else stats, cfg.top_commodities_k))
     recent = trailing_window(df, cfg).join(top, "commodity", "left_semi")
     return (
         recent.groupBy("commodity", "year", "month")
