@@ -3,9 +3,9 @@
 Every query starts from the raw price records that Spark derives from the
 test tables in ``sf_dir`` (see :mod:`pricelake.sources.fixtures`), so its work
 grows with the data. As in production, the market questions read the cleaned,
-partitioned Parquet table: it is written once per input folder under the
-session's shared ``spark.checkpoint.dir`` (keyed by the input files' sizes
-and times) and reused by later queries. Cleaning queries start from the raw
+partitioned Parquet table: each application writes it once per input folder
+under the session's shared ``spark.checkpoint.dir`` and reuses it for its
+later queries. Cleaning queries start from the raw
 records; file-format queries write their own input to a fresh folder there
 and read it back.
 """
@@ -17,7 +17,6 @@ from collections.abc import Callable
 import hashlib
 import inspect
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,14 +46,6 @@ _SOURCE_TABLES = ("lineitem", "part", "supplier", "nation", "region")
 _materialized: dict[tuple[str, str], str] = {}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException:
-        return False
-
-
 def _code_version() -> str:
     """Hash of the modules that decide the cleaned table's contents and layout."""
     import pricelake.functions as functions_pkg
@@ -74,16 +65,14 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
 def materialize_processed(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
     """Write the cleaned table for ``sf_dir`` and use it for later queries of this application.
 
-    Without ``path`` the table goes to a folder keyed by the source files'
-    fingerprint and an existing complete copy (``_SUCCESS``) is reused.
+    Without ``path`` the folder is named by the application id and the source
+    fingerprint, so concurrent applications never write into each other's copy.
     """
+    app = spark.sparkContext.applicationId
     if path is None:
-        path = f"{checkpoint_root(spark)}/pricelake/processed-{_fingerprint(spark, sf_dir)}"
-        if not _exists(spark, f"{path}/_SUCCESS"):
-            pq.write_processed(_clean(spark, sf_dir), path)
-    else:
-        pq.write_processed(_clean(spark, sf_dir), path)
-    _materialized[(spark.sparkContext.applicationId, sf_dir)] = path
+        path = f"{checkpoint_root(spark)}/pricelake/processed-{app}-{_fingerprint(spark, sf_dir)}"
+    pq.write_processed(_clean(spark, sf_dir), path)
+    _materialized[(app, sf_dir)] = path
     return path
 
 
