@@ -24,7 +24,7 @@ from pricelake.schema import Config
 from pricelake.session import build_session, scale_conf
 from pricelake.sources.csv import land_raw_csv
 from pricelake.sources.inventory import landing_inventory
-from pricelake.sources.pages import flatten_pages, read_pages
+from pricelake.sources.pages import dry_run, flatten_pages, read_pages
 from pricelake.sources.parquet import read_processed, sample_records, write_processed
 from pricelake.streaming.landing import run_clean_stream
 
@@ -68,7 +68,8 @@ def main(argv: list[str] | None = None) -> int:
 
     pg = sub.add_parser("pages")
     pg.add_argument("--pages", required=True)
-    pg.add_argument("--landing", required=True)
+    pg.add_argument("--landing", default=None)
+    pg.add_argument("--dry-run", action="store_true", help="print the first record's fields, write nothing")
 
     iv = sub.add_parser("inventory")
     iv.add_argument("--root", required=True)
@@ -95,6 +96,8 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(out))
     elif args.job == "ingest":
         run_clean_stream(spark, args.landing, args.out, args.checkpoint, cfg, max_files_per_trigger=args.max_files_per_trigger)
+    elif args.job == "pages" and (args.dry_run or not args.landing):
+        dry_run(read_pages(spark, args.pages)).show(truncate=False)
     elif args.job == "pages":
         rows = flatten_pages(read_pages(spark, args.pages))
         land_raw_csv(rows, args.landing, partition_col="state_partition", key=F.nullif(F.trim("state"), F.lit("")), mode="append")

@@ -34,6 +34,15 @@ def flatten_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
     return records.select(*[_field(F.col("_r"), f).alias(f) for f in RAW_FIELDS])
 
 
+def dry_run(pages: DataFrame, value_col: str = "value") -> DataFrame:
+    """Field names and JSON of the first record of the first non-empty page; nothing is written."""
+    records = F.from_json(F.col(value_col), PAGE_SCHEMA)["records"]
+    first = pages.select(F.get(records, 0).alias("_r"))  # null for an empty page (no ANSI index error)
+    return first.filter(F.col("_r").isNotNull()).select(
+        F.array_sort(F.map_keys("_r")).alias("fields"), F.to_json("_r").alias("record")
+    ).limit(1)
+
+
 def read_pages(spark, path: str) -> DataFrame:
     """Page files as text, one JSON page per line (``value``)."""
     return spark.read.text(path)

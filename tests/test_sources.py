@@ -152,3 +152,13 @@ def test_result_sink_roundtrip(spark, tmp_dir):
     assert back.collect()[0].avg_modal_price == 1.5
     assert results.read_result_csv(spark, os.path.join(tmp_dir, "missing")) is None
     assert results.read_result_csv(spark, os.path.join(tmp_dir, "missing"), fallback=out).count() == 1
+
+
+def test_pages_dry_run(spark):
+    pages_df = spark.createDataFrame(
+        [(json.dumps({"records": []}),), (json.dumps({"records": [{"state": "Goa", "arrivaldate": "01/02/2000"}]}),)],
+        "value string",
+    )
+    rows = pages.dry_run(pages_df).collect()
+    assert len(rows) == 1 and rows[0].fields == ["arrivaldate", "state"]
+    assert json.loads(rows[0].record) == {"state": "Goa", "arrivaldate": "01/02/2000"}
