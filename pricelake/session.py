@@ -31,6 +31,11 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
     more than a few hundred MB even before AQE coalesces small partitions and
     splits skewed ones (a partition over 4x the median and 512 MB is split).
     At 100 TB this gives ~400k initial shuffle partitions.
+
+    AQE may turn a join into a broadcast when the *measured* size of one side
+    is at most 64 MB (for example the one-row-per-(commodity, day) table joined
+    back in the national average); larger sides keep the shuffle join with
+    skew splitting. Static planning keeps Spark's 10 MB estimate threshold.
     """
     partitions = max(200, -(-input_bytes // target_partition_bytes))
     return {
@@ -39,6 +44,7 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     }
 
 
