@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import chat, rules, tokens, warc
+from pricelake.llm import chat, decontam, langid, mixing, rules, tokens, toxicity, warc
 from pricelake.llm.common import table, written
 from pricelake.llm.oracle import RULES_SQL, WARC_SQL
 from pricelake.session import scratch_path
@@ -47,6 +47,27 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(written(spark, chat.format_chat(messages), "chat"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", *mixing.ADDED)
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = langid.predict(docs, langid.fit(docs))
+    return rows.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return rows.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rules.apply_policy(rules.ledger(table(spark, sf_dir, "documents")))
     failed = F.col("fail_bits").bitwiseAND(F.lit(rules.mask(rules.BASE_RULES))) != 0
@@ -55,5 +76,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_chat_format, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_warc,
+        op3_chat_format,
+        op4_mixing,
+        op5_decontamination,
+        op7_language_id,
+        op9_toxicity,
+        op10_quality_rules,
+    )
+}
 ORACLE_SQL = {"op2_warc": WARC_SQL, "op10_quality_rules": RULES_SQL}
