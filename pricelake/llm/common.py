@@ -39,20 +39,32 @@ def _let_workers_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, (env.get("PYTHONPATH"), root)))
 
 
-def map_rows(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterable[dict[str, list]]], schema: str) -> DataFrame:
-    """``mapInArrow`` over plain Python lists: ``fn`` gets an iterator of ``{column: values}``, one per Arrow
-    batch, and yields the same shape with the columns of ``schema``. Nulls stay ``None`` and longs stay longs."""
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[list]], schema: str) -> DataFrame:
+    """``mapInArrow`` with columns out: ``fn`` gets an iterator of record batches and yields lists of columns in the
+    order of ``schema``, as Arrow arrays or Python lists. Nulls stay ``None`` and longs stay longs."""
     fields = df.sparkSession.createDataFrame([], schema).schema
-    names = fields.fieldNames()
     arrow = to_arrow_schema(fields)
     _let_workers_import(df.sparkSession)
 
+    def run(batches):
+        for out in fn(batches):
+            columns = [c.cast(t) if isinstance(c, pa.Array) else pa.array(c, type=t) for c, t in zip(out, arrow.types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return df.mapInArrow(run, fields)
+
+
+def map_rows(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterable[dict[str, list]]], schema: str) -> DataFrame:
+    """``map_arrow`` over plain Python lists: ``fn`` gets an iterator of ``{column: values}``, one per batch, and
+    yields the same shape with the columns of ``schema``."""
+    names = df.sparkSession.createDataFrame([], schema).columns
+
     def run(batches):
         cols = (dict(zip(b.schema.names, (c.to_pylist() for c in b.columns), strict=True)) for b in batches)
         for out in fn(cols):
-            yield pa.RecordBatch.from_arrays([pa.array(out[n], type=arrow.field(n).type) for n in names], schema=arrow)
+            yield [out[n] for n in names]
 
-    return df.mapInArrow(run, fields)
+    return map_arrow(df, run, schema)
 
 
 def ascii_lower(col):

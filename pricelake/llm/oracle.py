@@ -39,3 +39,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
   fail_bits = 0 AS kept, fail_bits
 FROM f
 """
+
+MINHASH_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) = 1 THEN [[ws[1]]] ELSE list_transform(range(1, len(ws)), lambda i: [ws[i], ws[i + 1]]) END) AS shingle FROM w),
+d AS MATERIALIZED (SELECT DISTINCT doc_id, hash(shingle) AS h FROM s),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM d GROUP BY 1),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM d a JOIN d b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+reach AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY 1)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(least.y, w.doc_id)) AS component_id,
+  w.doc_id = least(w.doc_id, coalesce(least.y, w.doc_id)) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.x = w.doc_id
+"""

@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import chat, decontam, langid, mixing, rules, tokens, toxicity, warc
+from pricelake.llm import chat, decontam, langid, minhash, mixing, rules, tokens, toxicity, warc
 from pricelake.llm.common import table, written
-from pricelake.llm.oracle import RULES_SQL, WARC_SQL
+from pricelake.llm.oracle import MINHASH_SQL, RULES_SQL, WARC_SQL
 from pricelake.session import scratch_path
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -56,6 +56,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = langid.predict(docs, langid.fit(docs))
@@ -84,9 +88,10 @@ QUERIES = {
         op3_chat_format,
         op4_mixing,
         op5_decontamination,
+        op6_minhash,
         op7_language_id,
         op9_toxicity,
         op10_quality_rules,
     )
 }
-ORACLE_SQL = {"op2_warc": WARC_SQL, "op10_quality_rules": RULES_SQL}
+ORACLE_SQL = {"op2_warc": WARC_SQL, "op6_minhash": MINHASH_SQL, "op10_quality_rules": RULES_SQL}
