@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import chat, decontam, langid, minhash, mixing, rules, tokens, toxicity, warc
+from pricelake.llm import chat, decontam, langid, minhash, mixing, rules, suffix, tokens, toxicity, warc
 from pricelake.llm.common import table, written
 from pricelake.llm.oracle import MINHASH_SQL, RULES_SQL, WARC_SQL
 from pricelake.session import scratch_path
@@ -66,6 +66,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -90,6 +94,7 @@ QUERIES = {
         op5_decontamination,
         op6_minhash,
         op7_language_id,
+        op8_suffix_dedup,
         op9_toxicity,
         op10_quality_rules,
     )
