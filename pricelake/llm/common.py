@@ -39,7 +39,7 @@ def _let_workers_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, (env.get("PYTHONPATH"), root)))
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[list]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[list]], schema) -> DataFrame:
     """``mapInArrow`` with columns out: ``fn`` gets an iterator of record batches and yields lists of columns in the
     order of ``schema``, as Arrow arrays or Python lists. Nulls stay ``None`` and longs stay longs."""
     fields = df.sparkSession.createDataFrame([], schema).schema
@@ -67,6 +67,19 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterable[d
     return map_arrow(df, run, schema)
 
 
+def keep_where(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[bool]]]) -> DataFrame:
+    """Rows of ``docs`` whose ``text`` (null: empty) passes; ``make()`` gives a task its test. All columns stay as they are."""
+
+    def run(batches):
+        test = make()
+        for b in batches:
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            kept = b.filter(pa.array(test(texts), pa.bool_()))
+            yield list(kept.columns)
+
+    return map_arrow(docs, run, docs.schema)
+
+
 def ascii_lower(col):
     """Lower-case A-Z only, as the word contracts ask; other letters stay."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

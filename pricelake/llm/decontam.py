@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -35,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import map_rows
+from pricelake.llm.common import keep_where, map_rows
 
 MAX_EDITS = 0.2
 GRAM = 4
@@ -232,20 +233,22 @@ def prepared(items: tuple, share: float) -> Benchmark:
     return Benchmark(list(items), share)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = MAX_EDITS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, item_id, edits, item_words, end_word`` for every item that leaks into a document.
-
-    ``benchmark (item_id, text)`` is read in blocks of about ``block_bytes``; only one block is on the driver at a time.
-    """
-    schema = "doc_id long, item_id long, edits int, item_words int, end_word long"
+def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple]:
+    """The items in blocks of about ``block_bytes`` of text; the driver holds what one task gets."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-total // block_bytes))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    out = None
     for k in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        block = tuple(sorted(((r["item_id"], r["text"]) for r in own.collect()), key=repr))
+        yield tuple(sorted(((r["item_id"], r["text"]) for r in own.collect()), key=repr))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = MAX_EDITS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``doc_id, item_id, edits, item_words, end_word`` for every item of ``benchmark (item_id, text)`` that leaks into a document."""
+    schema = "doc_id long, item_id long, edits int, item_words int, end_word long"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    out = None
+    for block in blocks_of(benchmark, block_bytes):
 
         def run(batches, block=block):
             bench = prepared(block, share)
@@ -262,3 +265,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = MAX_EDITS,
         part = map_rows(rows, run, schema)
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = MAX_EDITS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` that no item leaks into, all columns."""
+    for block in blocks_of(benchmark, block_bytes):
+
+        def make(block=block):
+            def test(texts):
+                bench = prepared(block, share)
+                found = {d for d, *_ in bench.leaks([bench.encode(t) for t in texts])}
+                return [d not in found for d in range(len(texts))]
+
+            return test
+
+        docs = keep_where(docs, make)
+    return docs

@@ -306,3 +306,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = sketched.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that their component keeps, all columns; rows that repeat a kept id stay together."""
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_kept")), "left_semi")

@@ -1,7 +1,8 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
-Features of a whole text: densities of a fixed and of a learned lexicon, hits
-near a second-person word, capitals, punctuation, and hits that show only
+Features of a whole text: densities of a fixed and of a learned lexicon (words,
+and the first STEM letters of longer ones, as insults inflect), hits near a
+second-person word, capitals, punctuation, and hits that show only
 after undoing obfuscation (digits and signs for letters, spelled-out or
 stretched letters, starred-out letters).
 
@@ -29,8 +30,9 @@ from pricelake.llm.common import map_rows, written
 MAX_PER_CLASS = 3000
 # Trees and their growth.
 ROUNDS, DEPTH, RATE, BINS, MIN_LEAF, RIDGE = 40, 3, 0.2, 32, 5.0, 1.0
-# A learned word is in at least this share of toxic sample documents, and this many times likelier there.
-MIN_SHARE, MIN_RATIO, MAX_LEARNED = 0.01, 12.0, 200
+# A learned entry is in at least so many toxic sample documents, this share of them, and this many times likelier there.
+MIN_DOCS, MIN_SHARE, MIN_RATIO, MAX_LEARNED = 8, 0.01, 60.0, 400
+STEM = 4  # letters of a stem; a learned stem is written with a "^" before it
 NEAR, WINDOW = 4, 40
 
 # Common English insults.
@@ -81,7 +83,8 @@ def undisguised(token: str, lexicon: frozenset, by_length: dict[int, list[str]])
 
 class Featurizer:
     def __init__(self, learned: list[str]):
-        self.learned = frozenset(learned)
+        self.learned = frozenset(w for w in learned if w[0] != "^")
+        self.stems = frozenset(w[1:] for w in learned if w[0] == "^")
         self.seed = frozenset(SEED_LEXICON)
         self.all = self.seed | self.learned
         self.by_length: dict[int, list[str]] = {}
@@ -92,7 +95,8 @@ class Featurizer:
         low = text.lower()
         words = _WORDS.findall(low)
         n = max(1, len(words))
-        hits = [i for i, w in enumerate(words) if w in self.all]
+        known, stems = self.all, self.stems
+        hits = [i for i, w in enumerate(words) if w in known or w[:STEM] in stems and len(w) > STEM]
         second = [i for i, w in enumerate(words) if w in SECOND_PERSON]
         # Spelled-out words first ("i.d.i.o.t" is a token; "i d i o t" is not), then tokens with signs inside.
         odd = [t for t in low.split() if not t.isalpha()]
@@ -113,7 +117,7 @@ class Featurizer:
         letters = max(1, int(kinds[1] + kinds[2]))
         return [
             100 * sum(w in self.seed for w in found) / n,
-            100 * sum(w in self.learned for w in found) / n,
+            100 * sum(w in self.learned or w[:STEM] in stems for w in found) / n,
             float(np.log1p(len(hits))),
             float(len(set(found))),
             float(densest),
@@ -223,11 +227,13 @@ class ToxicityModel:
 
 
 def learned_words(sample: DataFrame, weight_1: float, weight_0: float) -> list[str]:
-    """At most MAX_LEARNED words of the sample that toxic documents use far more often."""
-    words = sample.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))).alias("word"))
-    counts = words.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("f"))
+    """At most MAX_LEARNED words and stems of the sample that toxic documents use far more often."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))
+    stems = F.transform(F.filter("words", lambda w: F.length(w) > STEM), lambda w: F.concat(F.lit("^"), F.substring(w, 1, STEM)))
+    entries = sample.select("toxic", words.alias("words")).select("toxic", F.explode(F.array_distinct(F.concat("words", stems))).alias("word"))
+    counts = entries.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("f"))
     rate_1, rate_0 = F.col("t") / weight_1, (F.col("f") + 0.5) / weight_0
-    kept = counts.where((F.col("t") >= 3) & (rate_1 >= MIN_SHARE) & (rate_1 >= MIN_RATIO * rate_0))
+    kept = counts.where((F.col("t") >= MIN_DOCS) & (rate_1 >= MIN_SHARE) & (rate_1 >= MIN_RATIO * rate_0))
     return [r["word"] for r in kept.orderBy((rate_1 / rate_0).desc(), "word").limit(MAX_LEARNED).collect()]
 
 
