@@ -7,6 +7,7 @@ predicates to the scan and the whole step runs inside one codegen stage.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -194,6 +195,22 @@ def clean_with_observation(df: DataFrame, cfg: Config, name: str = "clean_audit"
     return kept.select(*_clean_projection(cfg)).select(*CLEAN_COLUMNS), obs
 
 
+def observed_audit(obs: Observation, df: DataFrame, cfg: Config) -> dict[str, int]:
+    """The counts of :func:`clean_with_observation` after its job has run.
+
+    When not one row was kept, AQE replaces the finished stage by an empty
+    relation and its metrics are lost; the audit of ``df`` then counts again.
+    """
+    try:
+        return dict(obs.get)
+    except Py4JJavaError:
+        audit = {r["reject_reason"]: r["record_count"] for r in clean_audit(df, cfg).collect()}
+        if audit.get(KEPT):
+            raise
+        counts = {"raw_count": sum(audit.values()), KEPT: 0, "modal_outside_range": 0}
+        return counts | {r: audit.get(r, 0) for r in REJECT_REASONS}
+
+
 __all__ = [
     "BAD_DATE",
     "INVALID_PRICE",
@@ -209,6 +226,7 @@ __all__ = [
     "clean_with_observation",
     "critical_filter",
     "normalise_text",
+    "observed_audit",
     "parse_dates",
     "reject_reason",
     "valid_prices",

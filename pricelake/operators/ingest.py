@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricelake.constants import STATES
 from pricelake.schema import MANIFEST_SCHEMA
+from pricelake.session import path_exists
 
 
 def partition_frame(spark: SparkSession, names: Iterable[str] = STATES, only: str | None = None) -> DataFrame:
@@ -31,12 +32,9 @@ def record_manifest(entries: DataFrame, path: str) -> None:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The manifest table, or an empty one before the first run."""
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
 
 def pending_partitions(partitions: DataFrame, manifest: DataFrame, require_rows: bool = True) -> DataFrame:

@@ -5,11 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from pricelake.operators.clean import KEPT, REJECT_REASONS, clean_audit, clean_records, clean_with_observation
-from pricelake.schema import CORRUPT_COLUMN, RAW_FIELDS, Config
-from pricelake.sources.csv import read_raw_csv_with_corrupt
+from pricelake.operators.clean import clean_with_observation, observed_audit
+from pricelake.schema import Config
+from pricelake.sources.csv import read_raw_csv_with_corrupt, split_malformed
 from pricelake.sources.parquet import write_processed
 
 
@@ -30,7 +29,8 @@ def run_process(
     processed_path: str,
     cfg: Config,
     quarantine_path: str | None = None,
-    sample_rows: int | None = None,
+    sample_fraction: float | None = None,
+    seed: int = 42,
     dynamic_overwrite: bool = False,
 ) -> ProcessResult:
     """Clean every landed CSV row and write the processed table.
@@ -40,24 +40,16 @@ def run_process(
     the raw files. Malformed rows are optionally written to
     ``quarantine_path`` with their raw text (a second, filtered scan).
 
-    ``sample_rows`` limits the input for a smoke run; it must then not write
-    over a full table, so the caller names a separate output.
+    ``sample_fraction`` keeps a seeded random share of the rows for a smoke
+    run; it must then not write over a full table, so the caller names a
+    separate output.
     """
     raw = read_raw_csv_with_corrupt(spark, raw_path)
-    if sample_rows is not None:
-        # Smoke run: the first N rows (not a random sample) are cached so the
-        # audit and the write see the same rows; N bounds the cache.
-        raw = raw.limit(sample_rows).cache()
-        audit = clean_audit(raw, cfg).collect()  # at most one row per reject reason
-        metrics = {r: 0 for r in (*REJECT_REASONS, KEPT)}
-        metrics.update({row["reject_reason"]: row["record_count"] for row in audit})
-        metrics["raw_count"] = sum(row["record_count"] for row in audit)
-        write_processed(clean_records(raw, cfg), processed_path, dynamic_overwrite=dynamic_overwrite)
-    else:
-        cleaned, obs = clean_with_observation(raw, cfg)
-        write_processed(cleaned, processed_path, dynamic_overwrite=dynamic_overwrite)
-        metrics = dict(obs.get)
+    if sample_fraction is not None:
+        raw = raw.sample(fraction=sample_fraction, seed=seed)
+    cleaned, obs = clean_with_observation(raw, cfg)
+    write_processed(cleaned, processed_path, dynamic_overwrite=dynamic_overwrite)
+    metrics = observed_audit(obs, raw, cfg)
     if quarantine_path:
-        bad = raw.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(*RAW_FIELDS, CORRUPT_COLUMN)
-        bad.write.mode("overwrite").parquet(quarantine_path)
+        split_malformed(raw)[1].write.mode("overwrite").parquet(quarantine_path)
     return ProcessResult(processed_path, metrics)

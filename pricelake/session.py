@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,21 +22,24 @@ DEFAULT_CONF = {
 }
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Partition sizing for a run over ``input_bytes`` of input.
+def scale_conf(input_bytes: int, shuffled_bytes: int | None = None, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a run that reads ``input_bytes`` and shuffles ``shuffled_bytes`` at most in one stage.
 
     Scan splits of ``target_partition_bytes``; the initial shuffle width is the
-    input size over the same target (at least 200), so no reducer starts with
-    more than a few hundred MB even before AQE coalesces small partitions and
-    splits skewed ones (a partition over 4x the median and 512 MB is split).
-    At 100 TB this gives ~400k initial shuffle partitions.
+    shuffled size over the same target (at least Spark's 200), so no reducer
+    starts with more than a few hundred MB even before AQE coalesces small
+    partitions and splits skewed ones (a partition over 4x the median and
+    512 MB is split). The cleaning and landing writes shuffle their whole
+    input (100 TB: about 400k partitions); the market questions shuffle
+    pre-aggregated rows only, so their width stays moderate.
 
     AQE may turn a join into a broadcast when the *measured* size of one side
     is at most 64 MB (for example the one-row-per-(commodity, day) table joined
     back in the national average); larger sides keep the shuffle join with
     skew splitting. Static planning keeps Spark's 10 MB estimate threshold.
     """
-    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    shuffled = input_bytes if shuffled_bytes is None else shuffled_bytes
+    partitions = max(200, -(-shuffled // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
@@ -68,24 +70,29 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this must be set (HDFS / object store); a machine-local
-    temporary folder is only created when running in local mode with the
-    setting absent, e.g. in tests.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, which every session must set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder when running on a cluster")
-    root = tempfile.mkdtemp(prefix="pricelake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    sc.setCheckpointDir(root)
-    return root
+    if not root:
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return root.rstrip("/")
+
+
+def application_scratch(spark: SparkSession) -> str:
+    """This application's part of the shared checkpoint folder."""
+    return f"{checkpoint_root(spark)}/pricelake/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique directory path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/pricelake/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique directory path in this application's part of the shared checkpoint folder."""
+    return f"{application_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application left under :func:`scratch_path`; call it when no result of the session is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -18,7 +18,14 @@ _WRITE_OPTIONS = {
 }
 
 
-def land_raw_csv(df: DataFrame, path: str, partition_col: str = "src_state", key: Column | None = None, mode: str = "overwrite") -> None:
+def land_raw_csv(
+    df: DataFrame,
+    path: str,
+    partition_col: str = "src_state",
+    key: Column | None = None,
+    mode: str = "overwrite",
+    dynamic_overwrite: bool = False,
+) -> None:
     """Write raw rows as CSV files under ``<partition_col>=<value>/``.
 
     The partition value is a *copy* of the state (``key``, default the raw
@@ -26,6 +33,7 @@ def land_raw_csv(df: DataFrame, path: str, partition_col: str = "src_state", key
     the partition value sends each state's rows to few tasks, so a directory
     gets a few large files rather than one file per input task, while AQE
     still splits a state that holds a large share of the rows.
+    ``dynamic_overwrite`` replaces only the partitions present in ``df``.
     """
     key = F.col("state") if key is None else key
     (
@@ -33,32 +41,30 @@ def land_raw_csv(df: DataFrame, path: str, partition_col: str = "src_state", key
         .hint("rebalance", partition_col)
         .write.mode(mode)
         .options(**_WRITE_OPTIONS)
+        .option("partitionOverwriteMode", "dynamic" if dynamic_overwrite else "static")
         .partitionBy(partition_col)
         .csv(path)
     )
 
 
-def _reader(spark: SparkSession, schema: T.StructType, header: bool, enforce_schema: bool, glob: str):
-    return (
-        spark.read.schema(schema)
-        .option("header", str(header).lower())
-        .option("enforceSchema", str(enforce_schema).lower())
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-    )
-
-
-def read_raw_csv(
-    spark: SparkSession, path: str, header: bool = True, enforce_schema: bool = False, glob: str = "*.csv"
-) -> DataFrame:
-    """Every ``*.csv`` below ``path``, explicit schema, no inference.
+def csv_options(header: bool = True, enforce_schema: bool = False, glob: str = "*.csv") -> dict[str, str]:
+    """Options of every raw CSV scan, batch or streaming.
 
     ``recursiveFileLookup`` ignores ``state=`` directory names (the state is a
     column inside the files). With ``enforce_schema=False`` a file whose header
     names the columns in another order fails the read instead of being bound
-    by position into the wrong fields. Malformed rows are dropped.
+    by position into the wrong fields. A row that does not fit the schema keeps
+    its text in ``_corrupt_record``; asking for that column also makes Spark
+    check every field of a row, whatever columns a query needs.
     """
-    return _reader(spark, RAW_SCHEMA, header, enforce_schema, glob).option("mode", "DROPMALFORMED").csv(path)
+    return {
+        "header": str(header).lower(),
+        "enforceSchema": str(enforce_schema).lower(),
+        "recursiveFileLookup": "true",
+        "pathGlobFilter": glob,
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT_COLUMN,
+    }
 
 
 def read_raw_csv_with_corrupt(
@@ -69,18 +75,26 @@ def read_raw_csv_with_corrupt(
     Spark refuses a query that reads only the corrupt-record column, so keep
     the data columns in the projection (as :func:`split_malformed` does).
     """
-    return (
-        _reader(spark, RAW_SCHEMA_WITH_CORRUPT, header, enforce_schema, glob)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .csv(path)
-    )
+    return spark.read.schema(RAW_SCHEMA_WITH_CORRUPT).options(**csv_options(header, enforce_schema, glob)).csv(path)
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str, header: bool = True, enforce_schema: bool = False, glob: str = "*.csv"
+) -> DataFrame:
+    """The well-formed rows of every ``*.csv`` below ``path``, explicit schema, no inference.
+
+    This is the good side of :func:`split_malformed`, so every action sees the
+    same rows, whichever columns it reads.
+    """
+    return split_malformed(read_raw_csv_with_corrupt(spark, path, header, enforce_schema, glob))[0]
 
 
 def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without the corrupt column, quarantined rows with their raw text)."""
-    good = df.filter(F.col(CORRUPT_COLUMN).isNull()).select(*RAW_FIELDS)
-    bad = df.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(*RAW_FIELDS, CORRUPT_COLUMN)
+    # Spark refuses a scan of the corrupt-record column alone, which a bare count would be: always true, but reads a field.
+    reads_field = F.octet_length(F.coalesce(F.col(RAW_FIELDS[0]), F.lit(""))) >= 0
+    good = df.filter(F.col(CORRUPT_COLUMN).isNull() & reads_field).select(*RAW_FIELDS)
+    bad = df.filter(F.col(CORRUPT_COLUMN).isNotNull() & reads_field).select(*RAW_FIELDS, CORRUPT_COLUMN)
     return good, bad
 
 

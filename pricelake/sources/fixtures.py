@@ -38,20 +38,9 @@ def _ddmmyyyy(c: str) -> Column:
     return F.concat_ws("/", two(F.dayofmonth(c)), two(F.month(c)), F.year(c).cast("string"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A Parquet file splits only at row-group boundaries, so a file written as
-    one row group is read by one task. On a large input the scan already has
-    more splits than cores and this is a no-op (no shuffle is added).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def raw_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw price records with their key ``k`` and the clean nation name."""
-    li = spread(table(spark, sf_dir, "lineitem")).select(
+    li = table(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"),
         "l_partkey",
         "l_suppkey",
@@ -168,6 +157,28 @@ def pages_from_records(raw_k: DataFrame, page_size: int = 100) -> DataFrame:
     )
 
 
+def broken_pages(pages: DataFrame) -> DataFrame:
+    """Pages with every fifth (by number) followed by a copy cut short, and every seventh by one without a record list."""
+    n = F.regexp_extract("value", r'"total":(\d+)', 1).cast("int") + F.length("value")
+    cut = pages.filter(n % 5 == 0).select(F.expr("substring(value, 1, length(value) - 3)").alias("value"))
+    empty = pages.filter(n % 7 == 0).select(F.to_json(F.struct(F.md5("value").alias("message"))).alias("value"))
+    return pages.select("value").union(cut).union(empty)
+
+
+def region_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-delimited GeoJSON features of :func:`regions`' names (column ``value``).
+
+    The first nation's feature has an ``id`` and another name property only,
+    two more have a blank usual name beside another one, one has no name at all.
+    """
+    n = table(spark, sf_dir, "nation")
+    name, key = F.col("n_name"), F.col("n_nationkey")
+    usual = F.when(key == 0, None).when(key.isin(3, 4), F.lit("  ")).when(key == 5, None).otherwise(F.concat(F.lit(" "), name))
+    other = F.when(key == 5, None).when(key.isin(0, 3, 4), name)
+    properties = F.struct(key.cast("string").alias("id"), F.lit("Land").alias("NAME_0"), usual.alias("NAME_1"), other.alias("st_name_x"))
+    return n.select(F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"))).alias("value"))
+
+
 def malformed_lines(raw_k: DataFrame) -> DataFrame:
     """Raw records as headerless CSV text lines, some deliberately broken.
 

@@ -32,3 +32,10 @@ def compare_inventories(before: DataFrame, after: DataFrame) -> DataFrame:
         "matches",
         F.coalesce((F.col("files_before") == F.col("files_after")) & (F.col("bytes_before") == F.col("bytes_after")), F.lit(False)),
     )
+
+
+def inventory_totals(inventory: DataFrame) -> DataFrame:
+    """One row: partitions, files and bytes."""
+    return inventory.agg(
+        F.count(F.lit(1)).alias("partitions"), F.coalesce(F.sum("files"), F.lit(0)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")
+    )

@@ -23,14 +23,20 @@ def _field(record: Column, name: str) -> Column:
     return F.when(F.map_contains_key(record, F.lit(name)), primary).otherwise(F.coalesce(record[alias], F.lit("")))
 
 
+def split_pages(pages: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(pages with their parsed ``records``, pages that do not parse or have no ``records`` list, as raw text)."""
+    parsed = pages.select(F.col(value_col).alias("value"), F.from_json(F.col(value_col), PAGE_SCHEMA)["records"].alias("records"))
+    return parsed.filter(F.col("records").isNotNull()).select("records"), parsed.filter(F.col("records").isNull()).select("value")
+
+
 def flatten_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
     """One output row per record of every page, ten string fields, unknown keys dropped.
 
     Pages are parsed in the task that reads them and exploded there; a page
     holds at most one API page of records, so no step gathers pages together.
+    Pages that do not parse are the other side of :func:`split_pages`.
     """
-    parsed = pages.select(F.from_json(F.col(value_col), PAGE_SCHEMA).alias("_p"))
-    records = parsed.select(F.explode(F.col("_p.records")).alias("_r"))
+    records = split_pages(pages, value_col)[0].select(F.explode("records").alias("_r"))
     return records.select(*[_field(F.col("_r"), f).alias(f) for f in RAW_FIELDS])
 
 
@@ -43,6 +49,6 @@ def dry_run(pages: DataFrame, value_col: str = "value") -> DataFrame:
     ).limit(1)
 
 
-def read_pages(spark, path: str) -> DataFrame:
-    """Page files as text, one JSON page per line (``value``)."""
-    return spark.read.text(path)
+def read_pages(spark, path: str, one_per_line: bool = False) -> DataFrame:
+    """Page files as text (``value``): a file is one page, however it is laid out, or holds one page per line."""
+    return spark.read.text(path, wholetext=not one_per_line, recursiveFileLookup=True)

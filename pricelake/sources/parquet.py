@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from pricelake.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, PARTITION_COLUMNS
+from pricelake.session import path_exists
 
 # Order of rows inside each written partition (after the partition columns).
 SORT_COLUMNS = ("arrival_date", "commodity")
@@ -26,18 +31,70 @@ def write_processed(
     needs anyway) and then by date and commodity, so every row group carries
     tight min/max statistics and date or commodity predicates skip row groups.
     ``dynamic_overwrite`` replaces only the partitions present in ``df``.
+
+    The latest arrival date is observed by the write itself and kept beside
+    the data as a one-row table (:func:`read_anchor`).
     """
+    spark, seen = df.sparkSession, Observation(f"anchor-{uuid.uuid4().hex}")
     laid_out = (
         df.select(*CLEAN_COLUMNS)
         .hint("rebalance", *PARTITION_COLUMNS)
         .sortWithinPartitions(*PARTITION_COLUMNS, *SORT_COLUMNS)
+        .observe(seen, F.max("arrival_date").alias("latest"))  # on top: below, AQE drops it when no row comes up
     )
+    before = read_anchor(spark, path) if mode == "append" else None
     w = laid_out.write.mode(mode)
     if dynamic_overwrite:
         w = w.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     w.partitionBy(*PARTITION_COLUMNS).option("compression", "snappy").parquet(path)
+    if dynamic_overwrite:
+        # Replaced partitions may have held the latest date: look it up once.
+        latest = read_processed(spark, path).agg(F.max("arrival_date").alias("latest")).first()["latest"]
+    else:
+        latest = seen.get["latest"]
+    write_anchor(spark, path, max(filter(None, (before, latest)), default=None))
+
+
+def _anchor_path(path: str) -> str:
+    return f"{path.rstrip('/')}/_anchor"  # readers of the table skip names that begin with "_"
+
+
+def write_anchor(spark: SparkSession, path: str, latest: dt.date | None) -> None:
+    row = spark.createDataFrame([(latest,)], "latest date")
+    row.coalesce(1).write.mode("overwrite").parquet(_anchor_path(path))
+
+
+def read_anchor(spark: SparkSession, path: str) -> dt.date | None:
+    """Latest arrival date of the processed table at ``path`` (one stored row); ``None`` when it has none."""
+    if not path_exists(spark, _anchor_path(path)):
+        return None
+    return spark.read.schema("latest date").parquet(_anchor_path(path)).first()["latest"]
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> int:
+    """Move the data files of a finished write at ``staged`` into the table at ``path``; files moved.
+
+    File names are unique, so a move that was cut short is finished by calling
+    this again: what has been moved is no longer in ``staged``.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    source = hadoop(staged)
+    fs = source.getFileSystem(conf)
+    root = fs.makeQualified(source).toUri().getPath()
+    listing, moves = fs.listFiles(source, True), []
+    while listing.hasNext():
+        found = listing.next().getPath()
+        if found.getName().startswith("part-") and "/_" not in found.toUri().getPath()[len(root) :]:
+            moves.append(found)
+    for found in moves:
+        target = hadoop(path.rstrip("/") + found.toUri().getPath()[len(root) :])
+        fs.mkdirs(target.getParent())
+        if not fs.rename(found, target):
+            raise OSError(f"could not move {found} to {target}")
+    return len(moves)
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:

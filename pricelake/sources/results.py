@@ -4,24 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pricelake.session import path_exists
 
-def write_result_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """Header row, overwrite. Results are aggregates (bounded by the number of
-    groups), so ``single_file`` collapses them into one file written by a task
-    -- the rows never pass through the driver. Use ``single_file=False`` for a
-    row-level result."""
+
+def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Header row, overwrite. ``single_file`` is for results whose rows are
+    bounded by a k or by the number of states or months: one task writes them
+    as one file, and they never pass through the driver. A result that grows
+    with the data keeps its partitions (the default)."""
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def read_result_csv(spark: SparkSession, path: str, fallback: str | None = None) -> DataFrame | None:
-    """Read a result back with inferred types; ``None`` when neither path exists."""
+def read_result_csv(spark: SparkSession, path: str, fallback: str | None = None, schema: str | None = None) -> DataFrame | None:
+    """Read a result back, with ``schema`` or inferred types; ``None`` when neither path exists."""
     for p in (path, fallback):
-        if not p:
-            continue
-        try:
-            return spark.read.option("header", "true").option("inferSchema", "true").csv(p)
-        except Exception as exc:  # missing path -> try the fallback
-            if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
-                raise
+        if p and path_exists(spark, p):
+            reader = spark.read.option("header", "true")
+            return (reader.schema(schema) if schema else reader.option("inferSchema", "true")).csv(p)
     return None

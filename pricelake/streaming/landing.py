@@ -1,35 +1,55 @@
 """Incremental landing -> processed table with Structured Streaming.
 
 The file source remembers which CSV files it has committed in the checkpoint,
-so re-running picks up only files that arrived since the last run; a run that
-dies mid-way restarts from the last committed batch and the file sink's
-metadata log keeps the output exactly-once. This replaces per-partition
-``.done`` marker files.
+so re-running picks up only files that arrived since the last run. Each batch
+is cleaned and audited like the batch job, written to a staging folder under
+the checkpoint and then moved file by file into the plain partitioned table
+that the batch job writes as well. A batch that died is repeated by Spark; the
+staging folder tells how far it came, so no row is lost or doubled.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from pricelake.operators.clean import clean_records
-from pricelake.schema import PARTITION_COLUMNS, RAW_SCHEMA, Config
+from pricelake.operators.clean import clean_with_observation, observed_audit
+from pricelake.schema import Config
+from pricelake.session import path_exists
+from pricelake.sources.csv import RAW_SCHEMA_WITH_CORRUPT, csv_options, split_malformed
+from pricelake.sources.parquet import publish, read_anchor, write_anchor, write_processed
 
 
 def raw_csv_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of every ``*.csv`` file below ``landing`` (explicit schema, header rows)."""
-    reader = (
-        spark.readStream.schema(RAW_SCHEMA)
-        .option("header", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .option("mode", "DROPMALFORMED")
-    )
+    """Streaming scan of every ``*.csv`` file below ``landing``, read as the batch job reads them."""
+    reader = spark.readStream.schema(RAW_SCHEMA_WITH_CORRUPT).options(**csv_options())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.csv(landing)
 
 
+def land_batch(raw: DataFrame, batch: int, processed: str, checkpoint: str, cfg: Config, quarantine: str | None = None) -> dict:
+    """Clean one batch of raw rows into the table; repeating a batch adds nothing. Returns the batch's audit counts.
+
+    Order: staging write (replaced if it did not finish), quarantine (replaced),
+    audit file, anchor, moves. The audit file marks the staging write as finished.
+    """
+    spark = raw.sparkSession
+    staged, audit = f"{checkpoint.rstrip('/')}/staged/batch={batch}", f"{checkpoint.rstrip('/')}/audit/batch={batch}"
+    if not path_exists(spark, f"{audit}/_SUCCESS"):
+        cleaned, seen = clean_with_observation(raw, cfg, f"batch-{batch}")
+        write_processed(cleaned, staged)
+        if quarantine:
+            split_malformed(raw)[1].write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch={batch}")
+        spark.createDataFrame([(json.dumps(observed_audit(seen, raw, cfg)),)], "value string").coalesce(1).write.mode("overwrite").text(audit)
+    latest = max(filter(None, (read_anchor(spark, processed), read_anchor(spark, staged))), default=None)
+    publish(spark, staged, processed)
+    write_anchor(spark, processed, latest)
+    return json.loads(spark.read.text(audit).first()["value"])
+
+
 def start_clean_stream(
     spark: SparkSession,
     landing: str,
@@ -37,26 +57,37 @@ def start_clean_stream(
     checkpoint: str,
     cfg: Config,
     max_files_per_trigger: int | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Clean every new landed file and append it to the partitioned Parquet table.
+    """Clean every new landed file and add it to the partitioned Parquet table.
 
     ``trigger(availableNow=True)``: process everything present now (in as many
     batches as ``maxFilesPerTrigger`` allows), then stop.
     """
-    cleaned = clean_records(raw_csv_stream(spark, landing, max_files_per_trigger), cfg)
+
+    def each(batch_df: DataFrame, batch: int) -> None:
+        land_batch(batch_df, batch, processed, checkpoint, cfg, quarantine)
+
     return (
-        cleaned.writeStream.format("parquet")
+        raw_csv_stream(spark, landing, max_files_per_trigger)
+        .writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(*PARTITION_COLUMNS)
-        .outputMode("append")
         .trigger(availableNow=True)
-        .start(processed)
+        .start()
     )
 
 
-def run_clean_stream(spark: SparkSession, landing: str, processed: str, checkpoint: str, cfg: Config, **kw) -> None:
-    """Run :func:`start_clean_stream` to completion."""
+def run_clean_stream(spark: SparkSession, landing: str, processed: str, checkpoint: str, cfg: Config, **kw) -> dict:
+    """Run :func:`start_clean_stream` to completion; audit counts summed over all batches of the checkpoint."""
     q = start_clean_stream(spark, landing, processed, checkpoint, cfg, **kw)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    totals: dict = {}
+    audits = f"{checkpoint.rstrip('/')}/audit"
+    if path_exists(spark, audits):
+        # One short line per batch.
+        for row in spark.read.option("recursiveFileLookup", "true").text(audits).toLocalIterator():
+            for k, v in json.loads(row["value"]).items():
+                totals[k] = totals.get(k, 0) + (v or 0)
+    return totals

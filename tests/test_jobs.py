@@ -40,7 +40,7 @@ def test_process_then_analyze(spark, tmp_dir):
     with open(geo, "w") as f:
         json.dump({"features": [{"properties": {"ST_NM": "Punjab"}}, {"properties": {"ST_NM": "Orissa"}}]}, f)
     out = run_analyze(spark, processed, results, CFG, geojson_path=geo, msp_pairs=MSP_2024)
-    for name in ("top_commodities", "top_states", "arbitrage_matrix", "state_labels", "region_summary", "msp_violations"):
+    for name in ("price_trend_feed", "top_commodities_feed", "inefficiency_feed", "top_commodities", "top_states", "arbitrage_matrix", "state_labels", "region_summary", "msp_violations"):
         assert os.path.isdir(out[name])
     top = spark.read.option("header", True).csv(out["top_states"]).collect()
     assert [r.state for r in top] == ["Goa", "Punjab"]
@@ -53,7 +53,7 @@ def test_process_then_analyze(spark, tmp_dir):
 def test_cli_process_sample_writes_elsewhere(spark, tmp_dir):
     landing, out = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "processed")
     _land(spark, landing)
-    assert cli_main(["--min-year", "2013", "--max-year", "2025", "process", "--raw", landing, "--out", out, "--sample", "2"]) == 0
+    assert cli_main(["--min-year", "2013", "--max-year", "2025", "process", "--raw", landing, "--out", out, "--sample", "0.5"]) == 0
     assert os.path.isdir(out + "_sample") and not os.path.exists(out)
 
 
@@ -65,6 +65,7 @@ def test_scale_conf_sizes_partitions():
     big = scale_conf(100 << 40)
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+    assert int(scale_conf(100 << 40, 1 << 40)["spark.sql.shuffle.partitions"]) == 4096
 
 
 def test_cli_pages_ingest_and_inventory(spark, tmp_dir, capsys):
@@ -77,13 +78,48 @@ def test_cli_pages_ingest_and_inventory(spark, tmp_dir, capsys):
          "min_price": "1", "max_price": "2", "modal_price": "1"},
     ]}
     with open(os.path.join(pages_dir, "page_0000.json"), "w") as f:
-        f.write(json.dumps(page) + "\n")
+        f.write(json.dumps(page, indent=1) + "\n")
+    with open(os.path.join(pages_dir, "page_0001.json"), "w") as f:
+        f.write(json.dumps(page)[:-9])
     landing = os.path.join(tmp_dir, "landing")
-    assert cli_main(["pages", "--pages", pages_dir, "--landing", landing]) == 0
+    assert cli_main(["pages", "--pages", pages_dir, "--landing", landing, "--state", "Goa"]) == 0
+    assert [d for d in os.listdir(landing) if d.startswith("state_partition=")] == ["state_partition=Goa"]
+    capsys.readouterr()
+    for landed in (1, 0):  # the second run has nothing left to do
+        assert cli_main(["pages", "--pages", pages_dir, "--landing", landing]) == 0
+        assert json.loads(capsys.readouterr().out) == {"partitions": landed, "rows": landed, "bad_pages": 1}
+    assert csv_src.read_raw_csv(spark, landing).count() == 2
+    assert spark.read.parquet(landing + "_bad_pages").count() == 1
     assert sorted(d for d in os.listdir(landing) if d.startswith("state_partition=")) == [
         "state_partition=Assam", "state_partition=Goa"]
     out, ckpt = os.path.join(tmp_dir, "processed"), os.path.join(tmp_dir, "ckpt")
     assert cli_main(["--min-year", "2013", "--max-year", "2025", "ingest", "--landing", landing, "--out", out, "--checkpoint", ckpt]) == 0
     assert sorted(r.state for r in read_processed(spark, out).collect()) == ["Assam", "Goa"]
-    assert cli_main(["inventory", "--root", landing]) == 0
-    assert "state_partition=Goa" in capsys.readouterr().out
+    assert cli_main(["sql", "--processed", out, "--query", "SELECT count(*) AS n FROM price_records", "--out", out + "_sql"]) == 0
+    assert spark.read.option("header", True).csv(out + "_sql").first().n == "2"
+
+
+def test_cli_inventory_reports_every_partition(spark, tmp_dir, capsys):
+    root, out = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "inv")
+    for i in range(1100):
+        os.makedirs(os.path.join(root, f"state=s{i}"))
+        with open(os.path.join(root, f"state=s{i}", "a.csv"), "w") as f:
+            f.write("x")
+    assert cli_main(["inventory", "--root", root, "--out", out]) == 0
+    assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"partitions": 1100, "files": 1100, "bytes": 1100}
+    assert spark.read.option("header", True).csv(out).count() == 1100
+    assert cli_main(["inventory", "--root", root, "--against", os.path.join(root, "state=s1"), "--out", out]) == 0
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["mismatches"] == 1099
+
+
+def test_region_map_falls_back_to_top_states(spark, tmp_dir):
+    from pricelake.plans.analyze import STATE_SUMMARY_SCHEMA, run_region_map
+    from pricelake.sources.results import write_result_csv
+
+    geo = os.path.join(tmp_dir, "r.geojson")
+    with open(geo, "w") as f:
+        json.dump({"features": [{"properties": {"ST_NM": "Punjab"}}]}, f)
+    top = spark.createDataFrame([("Punjab", 3, 1.0, 3.0, 1, 1)], STATE_SUMMARY_SCHEMA)
+    write_result_csv(top, os.path.join(tmp_dir, "top_states"))
+    out = run_region_map(spark, tmp_dir, geo)
+    assert spark.read.option("header", True).csv(out["region_summary"]).first().record_count == "3"

@@ -47,10 +47,10 @@ def test_malformed_rows_are_quarantined(spark, tmp_dir):
     assert good.count() == 2 and bad.count() == 3
     flagged = csv_src.quarantine_view(scanned).filter("is_malformed")
     assert flagged.filter(F.col("state").isNotNull()).count() == 0
-    # DROPMALFORMED only drops what the read columns expose: a full-width read
-    # keeps 2 rows, a bare count() parses nothing and keeps all 5.
+    # Every action sees the same rows, whichever columns it reads.
     assert len(csv_src.read_raw_csv(spark, tmp_dir).collect()) == 2
-    assert csv_src.read_raw_csv(spark, tmp_dir).count() == 5
+    assert csv_src.read_raw_csv(spark, tmp_dir).count() == 2
+    assert csv_src.read_raw_csv(spark, tmp_dir).select("state").count() == 2
     audit = {r.reject_reason: r.record_count for r in clean.clean_audit(scanned, CFG).collect()}
     assert audit == {"malformed": 3, "kept": 2}
     scanned.unpersist()
@@ -127,7 +127,53 @@ def test_geojson_region_names(spark, tmp_dir):
     odd = os.path.join(tmp_dir, "odd.geojson")
     with open(odd, "w") as f:
         json.dump({"features": [{"properties": {"NAME_0": "India", "st_name_x": "Goa"}}]}, f)
-    assert geo.name_key(geo.read_features(spark, odd)) == "st_name_x"
+    assert geo.name_keys(geo.read_features(spark, odd)) == ["st_name_x"]
+
+
+def test_region_names_are_decided_over_all_features(spark, tmp_dir):
+    features = [
+        {"properties": {"id": "1", "NAME_0": "India"}},  # the first one lacks every name
+        {"properties": {"id": "2", "NAME_1": "Goa"}},
+        {"properties": {"id": "3", "NAME_1": " ", "state_x": "Assam"}},
+        {"properties": {"id": "4", "NAME_1": "Bihar", "state_x": "Other"}},
+        {"properties": None},
+    ]
+    path = os.path.join(tmp_dir, "r.geojson")
+    with open(path, "w") as f:
+        json.dump({"features": features}, f)
+    assert sorted(r.name for r in geo.region_names(spark, path).collect()) == ["Assam", "Bihar", "Goa"]
+    assert tuple(geo.unnamed_features(spark, path).first()) == (5, 2)
+
+
+def test_pages_that_do_not_parse_are_kept_apart(spark, tmp_dir):
+    good = {"records": [{"state": "Goa"}, {"state": "Assam"}]}
+    _write(tmp_dir, "a.json", [json.dumps(good, indent=2)])  # laid out over many lines
+    _write(tmp_dir, "b.json", [json.dumps(good)[:-5]])
+    _write(tmp_dir, "c.json", [json.dumps({"error": "limit"})])
+    _write(tmp_dir, "d.json", [json.dumps({"records": []})])
+    read = pages.read_pages(spark, tmp_dir)
+    ok, bad = pages.split_pages(read)
+    assert (ok.count(), bad.count()) == (2, 2)
+    assert sorted(r.state for r in pages.flatten_pages(read).collect()) == ["Assam", "Goa"]
+    _write(os.path.join(tmp_dir, "l"), "x.json", [json.dumps(good), json.dumps(good)])
+    assert pages.flatten_pages(pages.read_pages(spark, os.path.join(tmp_dir, "l"), one_per_line=True)).count() == 4
+
+
+def test_anchor_is_kept_beside_the_table(spark, tmp_dir):
+    import datetime as dt
+
+    path = os.path.join(tmp_dir, "t")
+    assert parquet.read_anchor(spark, path) is None
+    late = clean.clean_records(raw_frame(spark, [row(arrival_date="05/02/2021")]), CFG)
+    early = clean.clean_records(raw_frame(spark, [row(), row(commodity=None)]), CFG)
+    parquet.write_processed(late, path)
+    parquet.write_processed(early, path, mode="append")
+    assert parquet.read_anchor(spark, path) == dt.date(2021, 2, 5)
+    assert parquet.read_processed(spark, path).count() == 2
+    parquet.write_processed(early, path)
+    assert parquet.read_anchor(spark, path) == dt.date(2020, 2, 1)
+    parquet.write_processed(early.limit(0), path)
+    assert parquet.read_anchor(spark, path) is None
 
 
 def test_inventory_compare(spark, tmp_dir):
@@ -146,7 +192,7 @@ def test_inventory_compare(spark, tmp_dir):
 def test_result_sink_roundtrip(spark, tmp_dir):
     df = spark.createDataFrame([("Rice", 3, 1.5)], "commodity string, record_count long, avg_modal_price double")
     out = os.path.join(tmp_dir, "top")
-    results.write_result_csv(df, out)
+    results.write_result_csv(df.repartition(3), out, single_file=True)
     assert len([f for f in os.listdir(out) if f.endswith(".csv")]) == 1
     back = results.read_result_csv(spark, out)
     assert back.collect()[0].avg_modal_price == 1.5
