@@ -33,10 +33,10 @@ from pricelake.operators import arbitrage, clean, msp, shocks, summaries, trends
 from pricelake.plans import catalog  # noqa: E402
 from pricelake.plans.catalog import CFG, QUERIES  # noqa: E402
 from pricelake.plans.process import run_process  # noqa: E402
-from pricelake.session import build_session, scratch_path  # noqa: E402
+from pricelake.session import build_session, clear_scratch, scratch_path  # noqa: E402
 from pricelake.sources import csv as csv_src  # noqa: E402
 from pricelake.sources import fixtures as fx  # noqa: E402
-from pricelake.sources.parquet import read_processed  # noqa: E402
+from pricelake.sources.parquet import read_anchor, read_processed  # noqa: E402
 
 
 def run(df) -> None:
@@ -82,22 +82,22 @@ def bytes_read_by_label(log_dir: str) -> dict[str, int]:
     return out
 
 
-def analytic_suite(spark, df):
+def analytic_suite(spark, df, anchor=None, daily=None):
     msp_df = msp.msp_frame(spark, fx.FIXTURE_MSP)
     return {
         "top_commodities": lambda: summaries.top_commodities(df, CFG),
-        "monthly_price_trend": lambda: trends.monthly_price_trend(df, CFG),
-        "monthly_price_by_commodity": lambda: trends.monthly_price_by_commodity(df, CFG),
+        "monthly_price_trend": lambda: trends.monthly_price_trend(df, CFG, anchor=anchor),
+        "monthly_price_by_commodity": lambda: trends.monthly_price_by_commodity(df, CFG, anchor=anchor),
         "top_states": lambda: summaries.top_states(df, CFG),
         "price_volatility": lambda: summaries.price_volatility(df, CFG),
         "market_inefficiency": lambda: summaries.market_inefficiency(df, CFG),
-        "national_average": lambda: arbitrage.national_average(df),
+        "national_average": lambda: arbitrage.national_average(df, daily),
         "arbitrage_signal": lambda: arbitrage.arbitrage_signal(df, CFG),
         "all_states_summary": lambda: summaries.all_states_summary(df),
         "dataset_profile": lambda: summaries.dataset_profile(df),
         "msp_violations": lambda: msp.msp_violations(df, msp_df),
         "msp_compliance_monthly": lambda: msp.msp_compliance_monthly(df, msp_df),
-        "price_shocks": lambda: shocks.price_shocks(df, CFG),
+        "price_shocks": lambda: shocks.price_shocks(df, CFG, daily=daily),
     }
 
 
@@ -115,10 +115,14 @@ def production_pass(spark, sf_dir: str, tag: str) -> tuple[dict[str, float], dic
     raw_csv = csv_src.read_raw_csv_with_corrupt(spark, landing)
     times["clean_audit"] = timed(lambda: run(clean.clean_audit(raw_csv, CFG)), f"{tag}clean_audit")
     df = read_processed(spark, processed)
-    for name, build in analytic_suite(spark, df).items():
+    # One daily table feeds the national average and the price shocks, as in the analyze job.
+    daily_path = scratch_path(spark, "bench-daily")
+    times["daily_prices"] = timed(lambda: arbitrage.daily_prices(df).write.parquet(daily_path), f"{tag}daily_prices")
+    daily = spark.read.parquet(daily_path)
+    for name, build in analytic_suite(spark, df, read_anchor(spark, processed), daily).items():
         times[name] = timed(lambda b=build: run(b()), f"{tag}{name}")
     times["monthly_price_trend.no_year_predicate"] = timed(
-        lambda: run(trends.monthly_price_trend(df, CFG, prune_years=False)), f"{tag}monthly_price_trend.no_year_predicate"
+        lambda: run(trends.monthly_price_trend(df, CFG, prune_years=False, anchor=read_anchor(spark, processed))), f"{tag}monthly_price_trend.no_year_predicate"
     )
     return times, result.metrics
 
@@ -133,6 +137,7 @@ def main() -> None:
         shuffle_partitions=max(2 * cpus, 8),
         extra_conf={
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="pricelake-bench-"),  # one machine
             "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
             "spark.eventLog.enabled": "true",
             "spark.eventLog.dir": log_dir,
@@ -147,12 +152,12 @@ def main() -> None:
     raw_rows = int(metrics.get("raw_count", 0))
 
     # Registered (driver) queries: the cleaned table they share is built once first.
-    shared = scratch_path(spark, "bench-registered-processed")
-    times["registered.materialize_processed"] = timed(lambda: catalog.materialize_processed(spark, sf_dir, shared))
+    times["registered.materialize_processed"] = timed(lambda: catalog.materialize_processed(spark, sf_dir))
     for name in QUERIES:
         times[f"registered.{name}"] = timed(lambda n=name: run(QUERIES[n](spark, sf_dir)))
 
-    headline_keys = ["process", "clean_audit", *analytic_suite(spark, None)]
+    headline_keys = ["process", "clean_audit", "daily_prices", *analytic_suite(spark, None)]
+    clear_scratch(spark)
     spark.stop()  # flushes the event log
     read = bytes_read_by_label(log_dir)
     m = re.search(r"sf([0-9.]+)$", sf_dir)

@@ -4,7 +4,7 @@ Every function below takes and returns DataFrames; nothing runs until an
 action or a write.
 """
 
-from pricelake.operators.arbitrage import arbitrage_signal, national_average
+from pricelake.operators.arbitrage import arbitrage_signal, daily_prices, national_average
 from pricelake.operators.clean import clean_audit, clean_records, clean_with_observation
 from pricelake.operators.feeds import arbitrage_matrix, state_labels, volatility_feed
 from pricelake.operators.ingest import pending_partitions
@@ -23,9 +23,9 @@ from pricelake.operators.trends import monthly_price_by_commodity, monthly_price
 from pricelake.schema import CLEAN_SCHEMA, RAW_SCHEMA, Config
 from pricelake.session import build_session
 from pricelake.sources.csv import land_raw_csv, read_raw_csv, read_raw_csv_with_corrupt
-from pricelake.sources.geo import region_names
-from pricelake.sources.pages import flatten_pages
-from pricelake.sources.parquet import read_processed, write_processed
+from pricelake.sources.geo import region_names, unnamed_features
+from pricelake.sources.pages import flatten_pages, split_pages
+from pricelake.sources.parquet import read_anchor, read_processed, register_view, write_processed
 
 __all__ = [
     "CLEAN_SCHEMA",
@@ -38,6 +38,7 @@ __all__ = [
     "clean_audit",
     "clean_records",
     "clean_with_observation",
+    "daily_prices",
     "dataset_profile",
     "flatten_pages",
     "land_raw_csv",
@@ -51,6 +52,7 @@ __all__ = [
     "pending_partitions",
     "price_shocks",
     "price_volatility",
+    "read_anchor",
     "read_processed",
     "read_raw_csv",
     "read_raw_csv_with_corrupt",
@@ -58,11 +60,14 @@ __all__ = [
     "region_names",
     "region_rename",
     "region_summary",
+    "register_view",
+    "split_pages",
     "state_labels",
     "top_commodities",
     "top_states",
     "trailing_window",
     "unmatched_regions",
+    "unnamed_features",
     "volatility_feed",
     "write_processed",
 ]

@@ -1,6 +1,6 @@
 """Column expressions (all built-in Spark functions, no UDFs)."""
 
-from pricelake.functions.dates import parse_arrival_date, year_month
+from pricelake.functions.dates import parse_arrival_date
 from pricelake.functions.labels import fixed1, money_label, pct_label
 from pricelake.functions.numeric import round_half_up
 from pricelake.functions.text import blank_to_null, is_blank, normalise
@@ -14,5 +14,4 @@ __all__ = [
     "parse_arrival_date",
     "pct_label",
     "round_half_up",
-    "year_month",
 ]

@@ -13,8 +13,3 @@ def parse_arrival_date(c: Column | str, fmt: str = "dd/MM/yyyy") -> Column:
     bad strings (``1/2/2020``, ``2020-02-01``, ``31/02/2020``) into nulls.
     """
     return F.try_to_date(c if isinstance(c, Column) else F.col(c), fmt)
-
-
-def year_month(c: Column | str) -> Column:
-    """``yyyy-MM`` label of a date."""
-    return F.date_format(c if isinstance(c, Column) else F.col(c), "yyyy-MM")

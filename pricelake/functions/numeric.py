@@ -11,8 +11,8 @@ def round_half_up(c: Column | str, places: int = 2) -> Column:
 
     The value goes through ``decimal(38,10)`` first so that every engine rounds
     the same number (rounding the raw binary double can land 1.005 on 1.0).
-    Out-of-range values become null instead of failing the query.
+    A value that no decimal(38,10) holds fails the query (ANSI cast) rather than leave a hole in a result.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.try_cast("decimal(38,10)"), places).cast("double")
+    return F.round(col.cast("decimal(38,10)"), places).cast("double")
 

@@ -29,19 +29,27 @@ def _eligible(df: DataFrame) -> DataFrame:
     return df.filter(F.col("commodity").isNotNull() & (F.col("modal_price") > 0))
 
 
-def daily_national_average(df: DataFrame) -> DataFrame:
-    """(commodity, arrival_date) -> national_avg, record_count."""
+def daily_prices(df: DataFrame) -> DataFrame:
+    """(commodity, arrival_date) -> daily_avg (row-weighted), record_count; combined before the shuffle."""
     return (
         _eligible(df)
         .groupBy("commodity", "arrival_date")
-        .agg(F.avg("modal_price").alias("national_avg"), F.count(F.lit(1)).alias("day_records"))
+        .agg(F.avg("modal_price").alias("daily_avg"), F.count(F.lit(1)).alias("record_count"))
     )
 
 
-def national_average(df: DataFrame) -> DataFrame:
-    """Each eligible row with ``national_avg`` and ``deviation_pct``."""
-    daily = daily_national_average(df).select("commodity", "arrival_date", "national_avg")
-    rows = _eligible(df).join(daily, ["commodity", "arrival_date"], "inner")
+def national_average(df: DataFrame, daily: DataFrame | None = None) -> DataFrame:
+    """Each eligible row with ``national_avg`` and ``deviation_pct``.
+
+    ``daily`` is :func:`daily_prices` of the same rows. Pass it as a table that
+    was written and read back: both sides of the join then stand directly on a
+    shuffle of their own, which is what AQE needs to split a (commodity, day)
+    that holds a large share of the rows. Computed in place, the daily side
+    reuses its aggregate's shuffle and a hot day stays in one task.
+    """
+    per_day = daily_prices(df) if daily is None else daily
+    per_day = per_day.select("commodity", "arrival_date", F.col("daily_avg").alias("national_avg"))
+    rows = _eligible(df).join(per_day, ["commodity", "arrival_date"], "inner")
     return rows.withColumn(
         "deviation_pct", (F.col("modal_price") - F.col("national_avg")) / F.col("national_avg") * F.lit(100)
     )

@@ -47,13 +47,19 @@ def inefficiency_feed(ineff: DataFrame) -> DataFrame:
 def arbitrage_matrix(signal: DataFrame, commodities: list[str] | None = None) -> DataFrame:
     """State x commodity matrix of mean ``avg_deviation_pct``, empty cells 0.
 
-    By default it is built from the (limited) arbitrage signal, so a 0 mostly
-    means "not in the top rows" rather than "no deviation". Passing the column
-    values avoids the extra job Spark runs to discover them; without them the
-    distinct commodities of ``signal`` are looked up first (one small job).
+    ``signal`` is the written, limited arbitrage signal (at most its k rows), so
+    a 0 mostly means "not in the top rows" rather than "no deviation". Without
+    ``commodities`` Spark first looks up the distinct ones of ``signal``, which
+    reads it twice: pass a table that was written, not the query.
     """
     grouped = signal.groupBy("state")
     pivoted = grouped.pivot("commodity", commodities) if commodities is not None else grouped.pivot("commodity")
     out = pivoted.agg(F.avg("avg_deviation_pct"))
     value_cols = [c for c in out.columns if c != "state"]
     return out.na.fill(0.0, subset=value_cols) if value_cols else out
+
+
+def matrix_cells(matrix: DataFrame) -> DataFrame:
+    """The matrix in long form, one row per cell with zeros kept: (state, commodity, avg_deviation_pct)."""
+    commodities = [c for c in matrix.columns if c != "state"]
+    return matrix.unpivot("state", commodities, "commodity", "avg_deviation_pct")

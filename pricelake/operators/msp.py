@@ -18,8 +18,8 @@ def msp_frame(spark: SparkSession, pairs: Iterable[tuple[str, float]] = MSP_2024
 
 
 def _with_msp(df: DataFrame, msp: DataFrame) -> DataFrame:
-    # The reference-price list is a literal of a handful of rows: broadcast it.
-    m = F.broadcast(msp.select(normalise("commodity").alias("commodity"), "msp"))
+    # No hint: Catalyst broadcasts a list it knows to be small and joins any other by shuffle.
+    m = msp.select(normalise("commodity").alias("commodity"), "msp")
     return df.filter(F.col("modal_price") > 0).join(m, "commodity", "inner").withColumn(
         "_below", F.col("modal_price") < F.col("msp")
     )

@@ -32,12 +32,11 @@ def region_rename(summary: DataFrame, region_map: DataFrame, regions: DataFrame)
     """Replace a state by its mapped name when the state itself is not a region name.
 
     The rename applies even when the mapped name is not a region either; such
-    rows then show up in :func:`unmatched_regions`. ``region_map`` is a literal
-    list of pairs (size fixed by the caller) and is broadcast; ``regions`` is
-    a semi-join key, so Catalyst decides how to move it.
+    rows then show up in :func:`unmatched_regions`. Catalyst decides how to move
+    both sides; a map it knows to be small is broadcast without a hint.
     """
     known = regions.select(F.col("name").alias("state")).distinct().withColumn("_is_region", F.lit(True))
-    m = F.broadcast(region_map.select("state", F.col("name").alias("_mapped")))
+    m = region_map.select("state", F.col("name").alias("_mapped"))
     out = summary.join(m, "state", "left").join(known, "state", "left")
     renamed = F.when(F.col("_is_region").isNull() & F.col("_mapped").isNotNull(), F.col("_mapped")).otherwise(F.col("state"))
     return out.select(*[renamed.alias("state") if c == "state" else F.col(c) for c in summary.columns])

@@ -6,19 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.functions import round_half_up
+from pricelake.operators.arbitrage import daily_prices
 from pricelake.schema import Config
 
 
-def daily_commodity_prices(df: DataFrame) -> DataFrame:
-    """(commodity, arrival_date) -> daily_avg (row-weighted), record_count."""
-    return (
-        df.filter(F.col("commodity").isNotNull() & (F.col("modal_price") > 0))
-        .groupBy("commodity", "arrival_date")
-        .agg(F.avg("modal_price").alias("daily_avg"), F.count(F.lit(1)).alias("record_count"))
-    )
-
-
-def price_shocks(df: DataFrame, cfg: Config | None = None) -> DataFrame:
+def price_shocks(df: DataFrame, cfg: Config | None = None, daily: DataFrame | None = None) -> DataFrame:
     """Days whose average lies more than ``shock_z`` trailing standard deviations from the trailing mean.
 
     The trailing window covers the ``shock_window_days`` calendar days before
@@ -27,10 +19,13 @@ def price_shocks(df: DataFrame, cfg: Config | None = None) -> DataFrame:
 
     Raw rows are first reduced to one row per (commodity, day) with a map-side
     combined aggregation, so each window partition holds at most one row per
-    calendar day of a commodity, however many records that commodity has.
+    calendar day of a commodity, however many records that commodity has. A
+    written :func:`~pricelake.operators.arbitrage.daily_prices` table can be
+    passed as ``daily``. Rows come in no particular order: the result grows
+    with the data, and a global sort would compute it twice.
     """
     cfg = cfg or Config()
-    daily = daily_commodity_prices(df).withColumn("_day", F.unix_date("arrival_date"))
+    daily = (daily_prices(df) if daily is None else daily).withColumn("_day", F.unix_date("arrival_date"))
     w = Window.partitionBy("commodity").orderBy("_day").rangeBetween(-cfg.shock_window_days, -1)
     t = daily.select(
         "commodity",
@@ -57,5 +52,4 @@ def price_shocks(df: DataFrame, cfg: Config | None = None) -> DataFrame:
             round_half_up("_z").alias("z_score"),
             F.when(F.col("_z") > 0, F.lit("spike")).otherwise(F.lit("drop")).alias("direction"),
         )
-        .orderBy("commodity", "arrival_date")
     )

@@ -170,7 +170,7 @@ def dataset_profile(df: DataFrame) -> DataFrame:
     """
 
     def n_distinct(c: str):
-        return F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))
+        return F.count_distinct(c) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))
 
     return df.agg(
         F.count(F.lit(1)).alias("total_records"),

@@ -15,16 +15,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import hashlib
-import inspect
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.operators import arbitrage, clean, feeds, ingest, msp, regions, shocks, summaries, trends
-from pricelake.schema import Config
-from pricelake.session import checkpoint_root, scratch_path
+from pricelake.constants import LEGACY_PRICE_INDEX_COLUMN
+from pricelake.schema import RAW_FIELDS, Config
+from pricelake.session import application_scratch, scratch_path
 from pricelake.sources import csv as csv_src
 from pricelake.sources import fixtures as fx
+from pricelake.sources import geo, results
 from pricelake.sources import pages as pages_src
 from pricelake.sources import parquet as pq
 from pricelake.streaming import landing
@@ -43,43 +44,48 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SOURCE_TABLES = ("lineitem", "part", "supplier", "nation", "region")
-_materialized: dict[tuple[str, str], str] = {}
-
-
-def _code_version() -> str:
-    """Hash of the modules that decide the cleaned table's contents and layout."""
-    import pricelake.functions as functions_pkg
-
-    mods = [fx, clean, pq, *(getattr(functions_pkg, n) for n in ("dates", "labels", "numeric", "text"))]
-    return hashlib.sha1("".join(inspect.getsource(m) for m in mods).encode()).hexdigest()[:12]
+_materialized: set[str] = set()
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Source files' sizes and times (one small aggregate, no file contents), config and code version."""
+    """Source files' sizes and times (one small aggregate, no file contents) and the config."""
     paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in _SOURCE_TABLES]
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     stats = files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first()
-    return hashlib.sha1(repr((sf_dir, tuple(stats), CFG, _code_version())).encode()).hexdigest()[:16]
+    return hashlib.sha1(repr((sf_dir, tuple(stats), CFG)).encode()).hexdigest()[:16]
 
 
-def materialize_processed(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
-    """Write the cleaned table for ``sf_dir`` and use it for later queries of this application.
+def materialize_processed(spark: SparkSession, sf_dir: str) -> str:
+    """Write the cleaned table for ``sf_dir`` where later queries of this application look for it.
 
-    Without ``path`` the folder is named by the application id and the source
-    fingerprint, so concurrent applications never write into each other's copy.
+    The folder is named by the application and the source fingerprint, so
+    applications never write into each other's copy and a changed source gets
+    a copy of its own.
     """
-    app = spark.sparkContext.applicationId
-    if path is None:
-        path = f"{checkpoint_root(spark)}/pricelake/processed-{app}-{_fingerprint(spark, sf_dir)}"
-    pq.write_processed(_clean(spark, sf_dir), path)
-    _materialized[(app, sf_dir)] = path
+    path = f"{application_scratch(spark)}/processed-{_fingerprint(spark, sf_dir)}"
+    if path not in _materialized:
+        pq.write_processed(_clean(spark, sf_dir), path)
+        _materialized.add(path)
     return path
 
 
 def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned table for ``sf_dir`` as partitioned Parquet, written on first use."""
-    path = _materialized.get((spark.sparkContext.applicationId, sf_dir)) or materialize_processed(spark, sf_dir)
-    return pq.read_processed(spark, path)
+    """The cleaned table for ``sf_dir`` as partitioned Parquet, written on first use; the source is looked at on each."""
+    return pq.read_processed(spark, materialize_processed(spark, sf_dir))
+
+
+def _anchor(spark: SparkSession, sf_dir: str):
+    return pq.read_anchor(spark, materialize_processed(spark, sf_dir))
+
+
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, arbitrage.daily_prices(_processed(spark, sf_dir)), "daily-prices")
 
 
 def _renamed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -118,7 +124,7 @@ def q_normalise_text(spark, sf_dir):
 # ----------------------------------------------------------------------------- market questions
 
 def q_trailing_window(spark, sf_dir):
-    return trends.trailing_window(_processed(spark, sf_dir), CFG)
+    return trends.trailing_window(_processed(spark, sf_dir), CFG, anchor=_anchor(spark, sf_dir))
 
 
 def q_top_commodities(spark, sf_dir):
@@ -126,11 +132,11 @@ def q_top_commodities(spark, sf_dir):
 
 
 def q_monthly_price_trend(spark, sf_dir):
-    return trends.monthly_price_trend(_processed(spark, sf_dir), CFG)
+    return trends.monthly_price_trend(_processed(spark, sf_dir), CFG, anchor=_anchor(spark, sf_dir))
 
 
 def q_monthly_price_by_commodity(spark, sf_dir):
-    return trends.monthly_price_by_commodity(_processed(spark, sf_dir), CFG)
+    return trends.monthly_price_by_commodity(_processed(spark, sf_dir), CFG, anchor=_anchor(spark, sf_dir))
 
 
 def q_top_states(spark, sf_dir):
@@ -148,7 +154,7 @@ def q_market_inefficiency(spark, sf_dir):
 def q_national_average(spark, sf_dir):
     from pricelake.functions import round_half_up
 
-    rows = arbitrage.national_average(_processed(spark, sf_dir))
+    rows = arbitrage.national_average(_processed(spark, sf_dir), _daily(spark, sf_dir))
     return rows.select(
         "state",
         "market",
@@ -189,7 +195,37 @@ def q_region_summary(spark, sf_dir):
 
 
 def q_arbitrage_matrix(spark, sf_dir):
-    return feeds.arbitrage_matrix(arbitrage.arbitrage_signal(_processed(spark, sf_dir), CFG))
+    signal = _written(spark, arbitrage.arbitrage_signal(_processed(spark, sf_dir), CFG), "arbitrage-signal")
+    return feeds.matrix_cells(feeds.arbitrage_matrix(signal))
+
+
+def q_price_trend_feed(spark, sf_dir):
+    return feeds.price_trend_feed(q_monthly_price_trend(spark, sf_dir))
+
+
+def q_top_commodities_feed(spark, sf_dir):
+    return feeds.top_commodities_feed(q_top_commodities(spark, sf_dir))
+
+
+def q_inefficiency_feed(spark, sf_dir):
+    return feeds.inefficiency_feed(q_market_inefficiency(spark, sf_dir))
+
+
+def q_legacy_state_labels(spark, sf_dir):
+    legacy = q_top_states(spark, sf_dir).withColumnRenamed("price_index_sum", LEGACY_PRICE_INDEX_COLUMN)
+    return feeds.state_labels(legacy)
+
+
+def q_result_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "result")
+    results.write_result_csv(q_all_states_summary(spark, sf_dir), path)
+    return results.read_result_csv(spark, f"{path}-absent", fallback=path)
+
+
+def q_region_names(spark, sf_dir):
+    path = scratch_path(spark, "shapes")
+    fx.region_shapes(spark, sf_dir).write.text(path)
+    return geo.region_names(spark, path, multiline=False)
 
 
 def q_state_labels(spark, sf_dir):
@@ -207,14 +243,23 @@ def q_volatility_feed(spark, sf_dir):
 # ----------------------------------------------------------------------------- sources, sinks, landing
 
 def q_flatten_pages(spark, sf_dir):
-    return pages_src.flatten_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir)))
+    pages = _written(spark, fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir))), "pages")
+    return pages_src.flatten_pages(pages)
+
+
+def q_page_quarantine(spark, sf_dir):
+    """Pages and records that parse, and pages that do not."""
+    pages = _written(spark, fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir))), "pages")
+    good, bad = pages_src.split_pages(pages)
+    counts = good.agg(F.count(F.lit(1)).alias("good_pages"), F.coalesce(F.sum(F.size("records")), F.lit(0)).alias("records"))
+    return counts.crossJoin(bad.agg((F.count(F.lit(1)) > 0).alias("has_bad_pages")))
 
 
 def q_pending_partitions(spark, sf_dir):
     landed = fx.raw_records(spark, sf_dir).select(fx.landing_key().alias("state")).filter(F.col("state").isNotNull())
-    partitions = landed.groupBy("state").agg(F.count(F.lit(1)).alias("raw_rows"))
-    manifest = ingest.manifest_entries(landed.join(fx.done_partitions(spark, sf_dir), "state", "left_semi"))
-    return ingest.pending_partitions(partitions, manifest)
+    entries = _written(spark, ingest.manifest_entries(landed), "partitions")  # one row per state
+    manifest = entries.join(fx.done_partitions(spark, sf_dir), "state", "left_semi")
+    return ingest.pending_partitions(entries.select("state", F.col("rows").alias("raw_rows")), manifest)
 
 
 def q_read_raw_csv(spark, sf_dir):
@@ -236,15 +281,36 @@ def q_processed_roundtrip(spark, sf_dir):
     return pq.read_processed(spark, path)
 
 
+def _land_with_broken_lines(spark, keyed, path):
+    """Raw records as headed CSV files, some lines broken (those of :func:`fx.malformed_lines`)."""
+    # A line is one unquoted column here; the header option puts the field names into every file.
+    lines = fx.malformed_lines(keyed).select(F.col("value").alias(",".join(RAW_FIELDS)))
+    options = {"header": "true", "quote": "", "sep": "\u0001", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines.write.options(**options).csv(path)
+    return path
+
+
 def q_stream_ingest(spark, sf_dir):
-    landing_dir = scratch_path(spark, "stream-landing")
-    out = scratch_path(spark, "stream-processed")
-    ckpt = scratch_path(spark, "stream-checkpoint")
-    csv_src.land_raw_csv(_raw(spark, sf_dir), landing_dir, key=fx.landing_key())
+    landing_dir = _land_with_broken_lines(spark, fx.raw_with_key(spark, sf_dir), scratch_path(spark, "stream-landing"))
+    out, ckpt = scratch_path(spark, "stream-processed"), scratch_path(spark, "stream-checkpoint")
     landing.run_clean_stream(spark, landing_dir, out, ckpt, CFG)
     return pq.read_processed(spark, out)
 
 
+def q_batch_then_stream(spark, sf_dir):
+    """Half of the records by the batch job, the others by the stream, a batch append at last: one table."""
+    keyed = fx.raw_with_key(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "both-processed"), scratch_path(spark, "both-checkpoint")
+    first, second, third = (keyed.filter(F.col("k") % 3 == i) for i in range(3))
+    pq.write_processed(clean.clean_records(first.select(*RAW_FIELDS), CFG), out)
+    path = scratch_path(spark, "both-landing")
+    csv_src.land_raw_csv(second, path, key=fx.landing_key())
+    landing.run_clean_stream(spark, path, out, ckpt, CFG)
+    landing.run_clean_stream(spark, path, out, ckpt, CFG)
+    pq.write_processed(clean.clean_records(third.select(*RAW_FIELDS), CFG), out, mode="append")
+    return pq.read_processed(spark, out)
+
+
 # ----------------------------------------------------------------------------- declared purposes
 
 def q_msp_violations(spark, sf_dir):
@@ -256,7 +322,7 @@ def q_msp_compliance_monthly(spark, sf_dir):
 
 
 def q_price_shocks(spark, sf_dir):
-    return shocks.price_shocks(_processed(spark, sf_dir), CFG)
+    return shocks.price_shocks(_processed(spark, sf_dir), CFG, daily=_daily(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -281,15 +347,23 @@ QUERIES: dict[str, Query] = {
     "unmatched_regions": q_unmatched_regions,
     "region_summary": q_region_summary,
     "arbitrage_matrix": q_arbitrage_matrix,
+    "price_trend_feed": q_price_trend_feed,
+    "top_commodities_feed": q_top_commodities_feed,
+    "inefficiency_feed": q_inefficiency_feed,
+    "legacy_state_labels": q_legacy_state_labels,
+    "result_roundtrip": q_result_roundtrip,
+    "region_names": q_region_names,
     "state_labels": q_state_labels,
     "state_activity_long": q_state_activity_long,
     "volatility_feed": q_volatility_feed,
     "flatten_pages": q_flatten_pages,
+    "page_quarantine": q_page_quarantine,
     "pending_partitions": q_pending_partitions,
     "read_raw_csv": q_read_raw_csv,
     "malformed_quarantine": q_malformed_quarantine,
     "processed_roundtrip": q_processed_roundtrip,
     "stream_ingest": q_stream_ingest,
+    "batch_then_stream": q_batch_then_stream,
     "msp_violations": q_msp_violations,
     "price_shocks": q_price_shocks,
     "msp_compliance_monthly": q_msp_compliance_monthly,

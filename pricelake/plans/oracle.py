@@ -46,6 +46,9 @@ RAW_K = """raw_k AS (
   JOIN nation ON s_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey
 )"""
 
+# Without the lines that :func:`pricelake.sources.fixtures.malformed_lines` breaks.
+RAW_K_WELL_FORMED = RAW_K.rstrip(")").rstrip() + "\n  WHERE NOT (k%61=0 OR k%67=0 OR k%71=0)\n)"
+
 RAW_RECORDS = f"raw_records AS (SELECT {RAW_COLS} FROM raw_k)"
 
 RAW_D = r"""raw_d AS (
@@ -240,9 +243,20 @@ FROM (SELECT DISTINCT name FROM regions) r LEFT JOIN renamed s ON r.name = s.sta
     )
     q["arbitrage_matrix"] = _with(
         BASE + [NATIONAL, ARBITRAGE],
-        """SELECT state, COALESCE(COLUMNS(* EXCLUDE (state)), 0.0) FROM (
-  PIVOT (SELECT state, commodity, avg_deviation_pct FROM arbitrage) ON commodity USING avg(avg_deviation_pct) GROUP BY state)""",
+        """SELECT s.state, c.commodity, coalesce(avg(a.avg_deviation_pct), 0.0) AS avg_deviation_pct
+FROM (SELECT DISTINCT state FROM arbitrage) s CROSS JOIN (SELECT DISTINCT commodity FROM arbitrage) c
+LEFT JOIN arbitrage a ON a.state IS NOT DISTINCT FROM s.state AND a.commodity = c.commodity
+GROUP BY s.state, c.commodity""",
     )
+    q["legacy_state_labels"] = _with(
+        BASE + [STATE_SUMMARY, TOP_STATES],
+        f"SELECT state, price_index_sum, {_money('price_index_sum')} AS price_label FROM top_states",
+    )
+    q["result_roundtrip"] = q["all_states_summary"]
+    q["region_names"] = "SELECT DISTINCT n_name AS name FROM nation WHERE n_nationkey <> 5"
+    q["inefficiency_feed"] = f"SELECT state, market, avg_modal_price, avg_spread_pct, avg_price_spread, record_count FROM ({q['market_inefficiency']})"
+    q["price_trend_feed"] = f"SELECT year_month, avg_modal_price FROM ({q['monthly_price_trend']}) ORDER BY year_month"
+    q["top_commodities_feed"] = f"SELECT * FROM ({q['top_commodities']}) ORDER BY record_count, commodity"
     q["state_labels"] = _with(
         BASE + [STATE_SUMMARY, TOP_STATES],
         f"SELECT state, price_index_sum, {_money('price_index_sum')} AS price_label FROM top_states",
@@ -270,6 +284,9 @@ UNION ALL SELECT state, 'unique_commodities' AS metric, unique_commodities AS va
        CASE WHEN k%7=0 THEN '' ELSE coalesce({price_text('modal_price')},'') END AS modal_price
 FROM raw_k""",
     )
+    q["page_quarantine"] = (
+        "SELECT count(DISTINCT (l_orderkey * 10 + l_linenumber) // 100) AS good_pages, count(*) AS records, true AS has_bad_pages FROM lineitem"
+    )
     q["pending_partitions"] = _with(
         [RAW_K, RAW_RECORDS],
         """SELECT state, COUNT(*) AS raw_rows FROM (SELECT nullif(upper(trim(state)),'') AS state FROM raw_records) l
@@ -282,7 +299,10 @@ GROUP BY state""",
     nulled = ", ".join(f"CASE WHEN {bad} THEN NULL ELSE {c} END AS {c}" for c in RAW_COLS.split(", "))
     q["malformed_quarantine"] = _with([RAW_K], f"SELECT {nulled}, {bad} AS is_malformed FROM raw_k")
     q["processed_roundtrip"] = _with(BASE, "SELECT * FROM clean_records")
-    q["stream_ingest"] = _with(BASE, "SELECT * FROM clean_records")
+    well_formed = BASE.copy()
+    well_formed[0] = RAW_K_WELL_FORMED
+    q["stream_ingest"] = _with(well_formed, "SELECT * FROM clean_records")
+    q["batch_then_stream"] = _with(BASE, "SELECT * FROM clean_records")
     q["msp_violations"] = _with(
         BASE + [MSP, MSP_ROWS],
         f"""SELECT state, commodity, msp, COUNT(*) AS record_count, COUNT(*) FILTER (WHERE below) AS violations,

@@ -199,3 +199,80 @@ def test_skew_safe_plan_shapes(spark):
 
     laid = df.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*PARTITION_COLUMNS, *SORT_COLUMNS)
     assert "RebalancePartitions" in laid._jdf.queryExecution().analyzed().toString()
+
+
+def test_hot_day_of_the_national_average_is_split(spark, tmp_dir):
+    """With the daily table written, AQE splits a (commodity, day) that holds 90 % of the rows."""
+    rows = spark.range(60_000).select(
+        F.lit("A").alias("state"), F.lit("m").alias("market"),
+        F.when(F.col("id") % 10 > 0, F.lit("Hot")).otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("commodity"),
+        F.lit(D(2020, 1, 1)).alias("arrival_date"), (F.col("id") % 97 + 1).cast("double").alias("modal_price"),
+        F.sha2(F.col("id").cast("string"), 256).alias("district"),
+    )
+    rows.repartition(8).write.parquet(f"{tmp_dir}/rows")
+    rows = spark.read.parquet(f"{tmp_dir}/rows")
+    arbitrage.daily_prices(rows).write.parquet(f"{tmp_dir}/daily")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = arbitrage.national_average(rows, spark.read.parquet(f"{tmp_dir}/daily"))
+        out.collect()
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            out.explain()
+        assert "skew=true" in text.getvalue()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_profile_of_an_empty_table(spark):
+    assert tuple(summaries.dataset_profile(clean_frame(spark, [])).first()) == (0, None, None, 0, 0, 0)
+
+
+def test_round_half_up_does_not_hide_a_value(spark):
+    import pytest
+
+    from pricelake.functions import round_half_up
+
+    with pytest.raises(Exception):
+        spark.range(1).select(round_half_up(F.lit(1e30))).collect()
+
+
+def test_anchor_replaces_the_scan_for_the_latest_date(spark):
+    rows = [("A", "m", "Rice", D(y, 3, 31), 1.0, 2.0, 1.5) for y in (2018, 2019, 2020)]
+    df = clean_frame(spark, rows)
+    with_anchor = trends.trailing_window(df, CFG, anchor=D(2020, 3, 31))
+    assert sorted(r.arrival_date for r in with_anchor.collect()) == sorted(r.arrival_date for r in trends.trailing_window(df, CFG).collect())
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        with_anchor.explain()
+    assert "Subquery" not in text.getvalue()
+
+
+def test_every_ordered_result_comes_in_order(spark):
+    rnd = random.Random(4)
+    rows = [
+        (rnd.choice("ABCDE"), rnd.choice("mno"), rnd.choice(["Rice", "Gram", "Tur", "Bajra"]), D(2020, rnd.randint(1, 12), rnd.randint(1, 28)), 1.0, 9.0, float(rnd.randint(1, 8)))
+        for _ in range(400)
+    ]
+    df = clean_frame(spark, rows)
+
+    def check(frame, key):
+        got = [key(r) for r in frame.collect()]
+        assert len(got) > 1 and got == sorted(got)
+
+    check(summaries.top_commodities(df, CFG), lambda r: (-r.record_count, r.commodity))
+    check(summaries.top_states(df, CFG), lambda r: (-r.price_index_sum, r.state))
+    check(summaries.all_states_summary(df), lambda r: (-r.price_index_sum, r.state))
+    check(summaries.price_volatility(df, CFG), lambda r: (-r.stddev_modal_price, r.commodity))
+    check(summaries.market_inefficiency(df, CFG), lambda r: (-r.avg_spread_pct, r.state, r.market))
+    check(arbitrage.arbitrage_signal(df, CFG), lambda r: (-r.avg_deviation_pct, r.state, r.commodity))
+    check(trends.monthly_price_trend(df, CFG), lambda r: r.year_month)
+    check(trends.monthly_price_by_commodity(df, CFG), lambda r: (r.commodity, r.year_month))
