@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 
 from pricelake.operators import arbitrage, clean, feeds, ingest, msp, regions, shocks, summaries, trends
 from pricelake.constants import LEGACY_PRICE_INDEX_COLUMN
+from pricelake.plans.landing import land_pages
 from pricelake.schema import RAW_FIELDS, Config
 from pricelake.session import application_scratch, scratch_path
 from pricelake.sources import csv as csv_src
 from pricelake.sources import fixtures as fx
-from pricelake.sources import geo, results
+from pricelake.sources import geo, inventory, results
 from pricelake.sources import pages as pages_src
 from pricelake.sources import parquet as pq
 from pricelake.streaming import landing
@@ -105,6 +106,10 @@ def q_clean_audit(spark, sf_dir):
     return clean.clean_audit(_raw(spark, sf_dir), CFG)
 
 
+def q_audit_totals(spark, sf_dir):
+    return clean.audit_totals(clean.clean_audit(_raw(spark, sf_dir), CFG))
+
+
 def q_critical_filter(spark, sf_dir):
     return clean.critical_filter(_raw(spark, sf_dir))
 
@@ -255,6 +260,29 @@ def q_page_quarantine(spark, sf_dir):
     return counts.crossJoin(bad.agg((F.count(F.lit(1)) > 0).alias("has_bad_pages")))
 
 
+def q_land_pages(spark, sf_dir):
+    """Pages landed by state, one state first, then the others, then nothing left; read back as raw rows."""
+    path = scratch_path(spark, "landed")
+    pages = fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir)))
+    pages.write.text(f"{path}/pages")
+    for only in (fx.ONE_STATE, None, None):
+        land_pages(spark, f"{path}/pages", f"{path}/landing", f"{path}/manifest", f"{path}/bad", only=only, one_per_line=True)
+    return csv_src.read_raw_csv(spark, f"{path}/landing")
+
+
+def q_landing_inventory(spark, sf_dir):
+    """Every landed partition, compared with a second listing of the same folder."""
+    path = scratch_path(spark, "listed")
+    csv_src.land_raw_csv(_raw(spark, sf_dir), path, key=fx.landing_key())
+    listed = inventory.landing_inventory(spark, path)
+    return inventory.compare_inventories(listed, inventory.landing_inventory(spark, path)).select("partition", "matches")
+
+
+def q_sql_view(spark, sf_dir):
+    pq.register_view(_processed(spark, sf_dir))
+    return spark.sql("SELECT state, year, count(*) AS record_count, max(modal_price) AS top_price FROM price_records GROUP BY state, year")
+
+
 def q_pending_partitions(spark, sf_dir):
     landed = fx.raw_records(spark, sf_dir).select(fx.landing_key().alias("state")).filter(F.col("state").isNotNull())
     entries = _written(spark, ingest.manifest_entries(landed), "partitions")  # one row per state
@@ -328,6 +356,7 @@ def q_price_shocks(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "clean_records": q_clean_records,
     "clean_audit": q_clean_audit,
+    "audit_totals": q_audit_totals,
     "critical_filter": q_critical_filter,
     "valid_prices": q_valid_prices,
     "parse_dates": q_parse_dates,
@@ -358,6 +387,9 @@ QUERIES: dict[str, Query] = {
     "volatility_feed": q_volatility_feed,
     "flatten_pages": q_flatten_pages,
     "page_quarantine": q_page_quarantine,
+    "land_pages": q_land_pages,
+    "landing_inventory": q_landing_inventory,
+    "sql_view": q_sql_view,
     "pending_partitions": q_pending_partitions,
     "read_raw_csv": q_read_raw_csv,
     "malformed_quarantine": q_malformed_quarantine,

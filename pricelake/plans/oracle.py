@@ -283,6 +283,21 @@ UNION ALL SELECT state, 'unique_commodities' AS metric, unique_commodities AS va
        coalesce({price_text('max_price')},'') AS max_price,
        CASE WHEN k%7=0 THEN '' ELSE coalesce({price_text('modal_price')},'') END AS modal_price
 FROM raw_k""",
+    )
+    landed = ", ".join(f"CAST(nullif({c}, '') AS {'DOUBLE' if c.endswith('_price') else 'VARCHAR'}) AS {c}" for c in RAW_COLS.split(", "))
+    q["land_pages"] = f"SELECT {landed} FROM ({q['flatten_pages']})"
+    q["landing_inventory"] = _with(
+        [RAW_K, RAW_RECORDS],
+        """SELECT DISTINCT 'src_state=' || coalesce(nullif(upper(trim(state)), ''), '__HIVE_DEFAULT_PARTITION__') AS partition, true AS matches
+FROM raw_records""",
+    )
+    q["sql_view"] = _with(
+        BASE, "SELECT state, year, COUNT(*) AS record_count, MAX(modal_price) AS top_price FROM clean_records GROUP BY state, year"
+    )
+    q["audit_totals"] = _with(
+        BASE,
+        """SELECT r AS raw_count, c AS clean_count, r - c AS dropped_count, 100.0::DOUBLE * (r - c) / greatest(r, 1) AS dropped_pct
+FROM (SELECT (SELECT COUNT(*) FROM raw_records) AS r, (SELECT COUNT(*) FROM clean_records) AS c)""",
     )
     q["page_quarantine"] = (
         "SELECT count(DISTINCT (l_orderkey * 10 + l_linenumber) // 100) AS good_pages, count(*) AS records, true AS has_bad_pages FROM lineitem"

@@ -106,6 +106,9 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A state that the page-landing query lands by itself first.
+ONE_STATE = "NATION_7"
+
 # Test dimension tables (small, fixed): region-name map and reference prices.
 FIXTURE_REGION_MAP = (
     ("Nation_1", "Old Nation 1"),
