@@ -256,8 +256,9 @@ def q_page_quarantine(spark, sf_dir):
     """Pages and records that parse, and pages that do not."""
     pages = _written(spark, fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir))), "pages")
     good, bad = pages_src.split_pages(pages)
+    has_bad = bad.agg(F.count(F.lit(1)) > 0).scalar()
     counts = good.agg(F.count(F.lit(1)).alias("good_pages"), F.coalesce(F.sum(F.size("records")), F.lit(0)).alias("records"))
-    return counts.crossJoin(bad.agg((F.count(F.lit(1)) > 0).alias("has_bad_pages")))
+    return counts.select("*", has_bad.alias("has_bad_pages"))
 
 
 def q_land_pages(spark, sf_dir):
