@@ -70,10 +70,9 @@ def _key(source) -> F.Column:
 def tempered_weights(docs: DataFrame, exponent: float = 0.5, resolution: int = RESOLUTION) -> DataFrame:
     """``source, weight``: the share of each source's document count to the power ``exponent``, in ``resolution`` parts."""
     powered = docs.groupBy("source").agg(F.pow(F.count(F.lit(1)).cast("double"), F.lit(exponent)).alias("p"))
-    every = powered.agg(F.sum(F.round("p", 6).cast("decimal(38,6)")).alias("total"))
-    share = F.col("p") / F.col("total").cast("double")
-    # One row of one number on the right side.
-    return powered.join(F.broadcast(every)).select("source", F.greatest(F.lit(1), F.round(share * resolution)).cast("long").alias("weight"))
+    # A decimal sum, so that its order does not matter.
+    total = powered.agg(F.sum(F.round("p", 6).cast("decimal(38,6)")).cast("double")).scalar()
+    return powered.select("source", F.greatest(F.lit(1), F.round(F.col("p") / total * resolution)).cast("long").alias("weight"))
 
 
 def schedule(counts: DataFrame, targets: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
