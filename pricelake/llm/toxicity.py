@@ -31,7 +31,7 @@ MAX_PER_CLASS = 3000
 # Trees and their growth.
 ROUNDS, DEPTH, RATE, BINS, MIN_LEAF, RIDGE = 40, 3, 0.2, 32, 5.0, 1.0
 # A learned entry is in at least so many toxic sample documents, this share of them, and this many times likelier there.
-MIN_DOCS, MIN_SHARE, MIN_RATIO, MAX_LEARNED = 8, 0.01, 60.0, 400
+MIN_DOCS, MIN_SHARE, MIN_RATIO, MIN_STEM_RATIO, MAX_LEARNED = 8, 0.01, 60.0, 200.0, 400
 STEM = 4  # letters of a stem; a learned stem is written with a "^" before it
 NEAR, WINDOW = 4, 40
 
@@ -226,14 +226,31 @@ class ToxicityModel:
         return np.interp(self.trees.margin(np.array([make(t) for t in texts])), *self.knots)
 
 
-def learned_words(sample: DataFrame, weight_1: float, weight_0: float) -> list[str]:
-    """At most MAX_LEARNED words and stems of the sample that toxic documents use far more often."""
+def text_mark(text) -> F.Column:
+    """The smallest hash of a text's 3-word runs: near copies mostly share it, other texts do not."""
+
+    def least(w):
+        runs = F.transform(F.slice(w, 1, F.size(w) - 2), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
+        return F.when(F.size(w) >= 3, F.array_min(runs)).otherwise(F.xxhash64(w))
+
+    return F.transform(F.array(F.split(F.lower(text), r"\s+")), least)[0]
+
+
+def learned_words(sample: DataFrame) -> list[str]:
+    """At most MAX_LEARNED words and stems that toxic documents of ``sample (toxic, text)`` use far more often.
+
+    Toxic documents count once per mark, or every rare word of a much copied one would look like an insult.
+    """
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))
     stems = F.transform(F.filter("words", lambda w: F.length(w) > STEM), lambda w: F.concat(F.lit("^"), F.substring(w, 1, STEM)))
-    entries = sample.select("toxic", words.alias("words")).select("toxic", F.explode(F.array_distinct(F.concat("words", stems))).alias("word"))
-    counts = entries.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("f"))
-    rate_1, rate_0 = F.col("t") / weight_1, (F.col("f") + 0.5) / weight_0
-    kept = counts.where((F.col("t") >= MIN_DOCS) & (rate_1 >= MIN_SHARE) & (rate_1 >= MIN_RATIO * rate_0))
+    marked = sample.select("toxic", text_mark(F.col("text")).alias("mark"), words.alias("words"))
+    toxic_mark = F.when(F.col("toxic") == 1, F.col("mark"))
+    totals = marked.agg(F.count_distinct(toxic_mark).alias("t"), F.sum(1 - F.col("toxic")).alias("f")).first()
+    entries = marked.select("toxic", "mark", F.explode(F.array_distinct(F.concat("words", stems))).alias("word"))
+    counts = entries.groupBy("word").agg(F.count_distinct(toxic_mark).alias("t"), F.sum(1 - F.col("toxic")).alias("f"))
+    rate_1, rate_0 = F.col("t") / totals["t"], (F.col("f") + 0.5) / totals["f"]
+    ratio = F.when(F.col("word").startswith("^"), MIN_STEM_RATIO).otherwise(MIN_RATIO)
+    kept = counts.where((F.col("t") >= MIN_DOCS) & (rate_1 >= MIN_SHARE) & (rate_1 >= ratio * rate_0))
     return [r["word"] for r in kept.orderBy((rate_1 / rate_0).desc(), "word").limit(MAX_LEARNED).collect()]
 
 
@@ -260,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return ToxicityModel([], Trees(base=float(next(iter(sizes), 0))), None)
-    learned = learned_words(sample, sizes[1], sizes[0])
+    learned = learned_words(sample)
 
     def run(batches):
         make = Featurizer(learned)
