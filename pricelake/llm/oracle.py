@@ -16,9 +16,12 @@ _WORD = r"[^\x20\x09-\x0D]+"
 RULES_SQL = f"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, regexp_extract_all(text, '{_WORD}') AS ws FROM t),
-g AS (SELECT r, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
-h AS (SELECT r, i, count(*) OVER (PARTITION BY r, ws[i], ws[i + 1], ws[i + 2]) AS c FROM g),
-rep AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM h WHERE c > 1) GROUP BY 1),
+g AS (
+  SELECT r, unnest(range(1, len(ws) - 1)) AS i,
+    unnest(list_transform(range(1, len(ws) - 1), lambda k: [ws[k], ws[k + 1], ws[k + 2]])) AS t
+  FROM w WHERE len(ws) >= 3),
+d AS (SELECT r, t FROM g GROUP BY r, t HAVING count(*) > 1),
+rep AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM g JOIN d USING (r, t)) GROUP BY 1),
 m AS (
   SELECT t.r, doc_id, CAST(len(ws) AS BIGINT) AS n_words,
     CAST(length(regexp_replace(text, '{_SPACE}+', '', 'g')) AS BIGINT) AS word_chars,
