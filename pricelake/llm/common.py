@@ -31,6 +31,11 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """A join side that grows with the input: joined by shuffle at every size, never broadcast where it happens to be small."""
+    return df.hint("merge")
+
+
 def _let_workers_import(spark: SparkSession) -> None:
     """Python workers on this path find the package even if the session began elsewhere; a cluster installs it."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

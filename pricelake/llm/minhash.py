@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import WORD_RE, ascii_lower, map_arrow, written
+from pricelake.llm.common import WORD_RE, ascii_lower, by_shuffle, map_arrow, written
 from pricelake.llm.graph import components
 
 BANDS, ROWS, BITS = 40, 5, 4
@@ -162,7 +162,7 @@ def candidate_ties(classes: DataFrame) -> DataFrame:
     for turn in range(ROUNDS + 1):
         # Buckets with one member end here; least and greatest are combined before the shuffle.
         ends = rows.groupBy("bucket").agg(F.min("key").alias("leader"), F.max("key").alias("last")).where("leader <> last")
-        pairs = rows.join(ends.select("bucket", "leader"), "bucket").where("key <> leader")
+        pairs = rows.join(by_shuffle(ends.select("bucket", "leader")), "bucket").where("key <> leader")
         if turn < ROUNDS:
             pairs = pairs.join(signatures, "key").join(signatures.select(F.col("key").alias("leader"), F.col("signature").alias("other")), "leader")
             pairs = pairs.select("bucket", "key", "leader", similarity(F.col("signature"), F.col("other")).alias("similar"))
@@ -241,7 +241,7 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n_shingles").alias("n"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("n") / BLOCK_SHINGLES)).cast("int")
     sizes = sizes.select("cluster", blocks.alias("blocks"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members.where("id is not null"), "id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(by_shuffle(members.where("id is not null")), "id")
     sets = texts.select("cluster", "digest", shingles(F.col("text")).alias("s"))
     sets = written(spark, _own(sets).join(sizes, "cluster"), "minhash-sets")
 
@@ -302,7 +302,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = written(spark, classes, "minhash-classes")
     roots = components(links(docs, classes)).withColumnRenamed("node", "digest")
     rooted = classes.select("digest", "id").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("digest", "component_id")
+    # Written, so that the join back stands on a shuffle of its own on both sides and a large component can be split.
+    rooted = written(spark, rooted, "minhash-rooted")
+    least = written(spark, rooted.groupBy("root").agg(F.min("id").alias("component_id")), "minhash-least")
+    named = rooted.join(by_shuffle(least), "root").select("digest", "component_id")
     rows = sketched.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
