@@ -14,6 +14,7 @@ from pricelake.session import scratch_path
 
 # A word, in every contract: a run of anything but space and the five ASCII white-space controls.
 WORD_RE = r"[^\x20\x09-\x0D]+"
+SLICE_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,13 +47,15 @@ def _let_workers_import(spark: SparkSession) -> None:
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[list]], schema) -> DataFrame:
     """``mapInArrow`` with columns out: ``fn`` gets an iterator of record batches and yields lists of columns in the
-    order of ``schema``, as Arrow arrays or Python lists. Nulls stay ``None`` and longs stay longs."""
+    order of ``schema``, as Arrow arrays or Python lists. Nulls stay ``None`` and longs stay longs. ``fn`` gets at most
+    SLICE_ROWS rows at a time, however many Spark sends, which bounds the Python objects a worker holds."""
     fields = df.sparkSession.createDataFrame([], schema).schema
     arrow = to_arrow_schema(fields)
     _let_workers_import(df.sparkSession)
 
     def run(batches):
-        for out in fn(batches):
+        slices = (b.slice(i, SLICE_ROWS) for b in batches for i in range(0, b.num_rows, SLICE_ROWS))
+        for out in fn(slices):
             columns = [c.cast(t) if isinstance(c, pa.Array) else pa.array(c, type=t) for c, t in zip(out, arrow.types, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
