@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from pricelake.llm.common import WORD_RE
 
-SYMBOLS = "#*$%&|<>"
-SPACES = " \t\n\x0b\x0c\r"
+NO_SYMBOL_RE = r"[^#*$%&|<>]+"
+SPACE_RE = r"[\x20\x09-\x0D]+"
 
 # Rule name -> condition over the measurements under which a document fails. The bit is the rule's place here;
 # new rules go to the end, so that older ledgers stay readable.
@@ -46,11 +46,18 @@ def mask(rules) -> int:
     return sum(1 << list(RULES).index(r) for r in rules)
 
 
+# A window's place in its text takes this many bits of a sort key, the rest are its hash.
+_PLACE_BITS = 24
+
+
 def repeat_words(words: Column) -> Column:
     """Words inside 3-word windows that occur twice or more in ``words``.
 
     Hashes decide the common case: if all window hashes differ, so do the
-    windows. Otherwise the windows themselves are sorted and neighbours compared.
+    windows. Otherwise keys of hash and place are sorted as plain longs and
+    neighbours with equal hashes compared word by word. If any two of them
+    differ after all, or a text has more windows than places, the windows
+    themselves are sorted instead.
     """
 
     def bound(value: Column, f) -> Column:
@@ -60,19 +67,49 @@ def repeat_words(words: Column) -> Column:
     def windows(w, make):
         return F.transform(F.slice(w, 1, F.size(w) - 2), lambda x, i: make(x, F.get(w, i + 1), F.get(w, i + 2), i))
 
-    def exact(w):
+    def covered(places):
+        return F.size(F.array_distinct(F.flatten(F.transform(places, lambda i: F.array(i, i + 1, i + 2)))))
+
+    def by_windows(w):
         ordered = F.sort_array(windows(w, lambda a, b, c, i: F.struct(F.struct(a, b, c).alias("w"), i.alias("i"))))
 
         def repeated(s):
             return F.filter(s, lambda e, j: (F.get(s, j - 1)["w"] == e["w"]) | (F.get(s, j + 1)["w"] == e["w"]))
 
-        covered = bound(ordered, lambda s: F.flatten(F.transform(repeated(s), lambda e: F.array(e["i"], e["i"] + 1, e["i"] + 2))))
-        return F.size(F.array_distinct(covered))
+        return bound(ordered, lambda s: covered(F.transform(repeated(s), lambda e: e["i"])))
+
+    def by_keys(w, hashes):
+        place = F.lit((1 << _PLACE_BITS) - 1)
+        keys = F.sort_array(F.transform(hashes, lambda h, i: h.bitwiseAND(F.bitwise_not(place)).bitwiseOR(i.cast("long"))))
+
+        def hash_of(key):
+            return F.shiftright(key, _PLACE_BITS)
+
+        def place_of(key):
+            return key.bitwiseAND(place).cast("int")
+
+        def differ(x, y):
+            return (F.get(w, x) != F.get(w, y)) | (F.get(w, x + 1) != F.get(w, y + 1)) | (F.get(w, x + 2) != F.get(w, y + 2))
+
+        def counted(s):
+            near = F.filter(s, lambda e, j: (hash_of(F.get(s, j - 1)) == hash_of(e)) | (hash_of(F.get(s, j + 1)) == hash_of(e)))
+
+            def checked(n):
+                clash = F.filter(
+                    n, lambda e, j: (hash_of(F.get(n, j - 1)) == hash_of(e)) & differ(place_of(F.get(n, j - 1)), place_of(e))
+                )
+                return F.when(F.size(clash) > 0, by_windows(w)).otherwise(covered(F.transform(n, place_of)))
+
+            return bound(near, checked)
+
+        return bound(keys, counted)
 
     def counted(w):
-        hashes = windows(w, lambda a, b, c, i: F.xxhash64(a, b, c))
-        unique = bound(hashes, lambda h: F.size(F.array_distinct(h)) == F.size(h))
-        return F.when(F.size(w) < 3, 0).when(unique, 0).otherwise(exact(w))
+        def from_hashes(h):
+            unique = F.size(F.array_distinct(h)) == F.size(h)
+            return F.when(unique, 0).when(F.size(h) >= 1 << _PLACE_BITS, by_windows(w)).otherwise(by_keys(w, h))
+
+        return F.when(F.size(w) < 3, 0).otherwise(bound(windows(w, lambda a, b, c, i: F.xxhash64(a, b, c)), from_hashes))
 
     return bound(words, counted).cast("long")
 
@@ -87,8 +124,8 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     measured = rows.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate("text", SPACES, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.regexp_replace("text", SPACE_RE, "")).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace("text", NO_SYMBOL_RE, "")).cast("long").alias("n_symbols"),
         F.transform(F.array(lines), lambda a: F.struct(F.size(a).alias("n"), F.size(F.array_distinct(a)).alias("d")))[0].alias("lines"),
         repeat_words(F.col("words")).alias("n_repeat_words"),
     ).select(
