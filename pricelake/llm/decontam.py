@@ -4,17 +4,21 @@ Texts and benchmark items are word sequences (lower-cased runs of letters and
 digits). An item of n words leaks into a document if some stretch of it is
 within floor(``MAX_EDITS`` * n) word edits of the item.
 
-1. An exact filter: with k edits at least one run of ceil((n - k) / (k + 1))
-   item words survives, so only windows around a common run of that length
-   (at most GRAM words) can leak. It drops no window that could.
-2. The CGK random walk copies each item-sized window into a string of twice
+1. An item of ``2 * PIECE`` words or more is cut into pieces of at least PIECE
+   words. If all pieces had more than their share of edits, so would the item:
+   at least one piece of a leak is within its own share. This is exact.
+2. An exact filter: with k edits at least one run of ceil((n - k) / (k + 1))
+   of a piece's n words survives, so only windows around a common run of that
+   length (at most GRAM words) can leak. It drops no window that could.
+3. The CGK random walk copies each piece-sized window into a string of twice
    its length, repeating each word by random bits; equal edit distance turns
-   into Hamming distance. ``repetitions`` independent walks, each with ``BITS``
-   sampled places, bring windows and items with equal samples together; their
-   number follows from the target recall. Windows equal to the item meet it
-   always.
-3. Candidates are verified by the exact edit distance of the item to any
-   stretch of the words around the window.
+   into Hamming distance. Independent walks, each with ``BITS`` sampled places,
+   bring windows and pieces with equal samples together. The walks drift apart
+   the longer they are, so their number is measured for each length at its
+   largest distance (``walks_for``); pieces keep it small for any item. Windows
+   equal to the piece meet it always.
+4. Items with a piece that met a window are verified by the exact edit distance
+   of the whole item to any stretch of the words around it.
 
 The benchmark is a stated query set, taken in blocks of bounded size; each
 block is one pass over all documents, whole texts, with no shuffle of texts.
@@ -26,7 +30,6 @@ Other columns are ignored.
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -41,9 +44,10 @@ from pricelake.llm.common import keep_where, map_rows
 MAX_EDITS = 0.2
 GRAM = 4
 BITS = 4
+PIECE = 20
 TARGET_RECALL = 0.99
-# Chance that one sampled place agrees for a window at the largest distance: the walk's Hamming distance there stays under this.
-AGREE = 0.55
+# Walks by the edits a piece may have: what measured_walks finds at the shortest such piece (8 to 48), and up to 32 more, as lengths differ.
+WALKS = (8, 24, 32, 40, 56, 64, 72, 80)
 # A block of the benchmark holds about so many bytes of text.
 BLOCK_BYTES = 2 << 20
 SEED = 20240229
@@ -56,11 +60,6 @@ def words_of(text: str) -> list[str]:
     return _WORDS.findall(text.lower())
 
 
-def repetitions(recall: float = TARGET_RECALL, agree: float = AGREE, bits: int = BITS) -> int:
-    """Walks needed so that a pair at the largest distance meets at least once with probability ``recall``."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - agree**bits))
-
-
 def allowed_edits(n: int, share: float = MAX_EDITS) -> int:
     return int(n * share)
 
@@ -70,6 +69,12 @@ def gram_length(n: int, share: float = MAX_EDITS) -> int:
     return max(1, min(GRAM, -(-(n - k) // (k + 1))))
 
 
+def pieces_of(n: int) -> list[tuple[int, int]]:
+    """(start, end) of the pieces of an item of n words, near equal in length: PIECE to 2 * PIECE - 1 words, or the whole of a short item."""
+    count = max(1, n // PIECE)
+    return [(n * j // count, n * (j + 1) // count) for j in range(count)]
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = x * _MIX
     x ^= x >> np.uint64(32)
@@ -125,43 +130,101 @@ def edits_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def edited(rng: np.random.Generator, words: list[int], edits: int, vocabulary: int) -> list[int]:
+    """``words`` after insertions, deletions and substitutions, as many as bring it to a distance of exactly ``edits``."""
+    out, done = list(words), 0
+    # One edit changes the distance by one at most, so it is met on the way.
+    while done < edits or edits_within(np.array(words), np.array(out, np.int64))[0] < edits:
+        kind = int(rng.integers(0, 3))
+        p = int(rng.integers(0, len(out) + (kind == 0)))
+        out[p : p + (kind > 0)] = [int(rng.integers(1, vocabulary + 1))] * (kind < 2)
+        done += 1
+    return out
+
+
+def meetings(length: int, walks: int, share: float = MAX_EDITS, trials: int = 1000, seed: int = 0, vocabulary: int = 5000) -> np.ndarray:
+    """Measured share of pieces of ``length`` words that meet a copy with the most edits allowed, after each number of walks."""
+    rng = np.random.default_rng(seed)
+    k, g = allowed_edits(length, share), gram_length(length, share)
+    pieces, windows, owner = [], [], []
+    for t in range(trials):
+        piece = rng.integers(1, vocabulary + 1, length).tolist()
+        around = rng.integers(1, vocabulary + 1, 2 * length).tolist()
+        body = around[:length] + edited(rng, piece, k, vocabulary) + around[length:]
+        where: dict[tuple, list[int]] = {}
+        for q in range(length - g + 1):
+            where.setdefault(tuple(piece[q : q + g]), []).append(q)
+        runs = [(p, q) for p in range(len(body) - g + 1) for q in where.get(tuple(body[p : p + g]), ())]
+        starts = {s for p, q in runs for s in range(p - q - k, p - q + k + 1)}
+        pieces.append(piece)
+        windows += [[body[x] if 0 <= x < len(body) else -2 for x in range(s, s + length)] for s in sorted(starts)]
+        owner += [t] * len(starts)
+    keys, owners = cgk_keys(np.array(pieces, np.int64), walks), np.array(owner)
+    met = np.zeros((walks, trials), bool)
+    for a in range(0, len(windows), 4096):
+        own = owners[a : a + 4096]
+        for r, equal in enumerate(cgk_keys(np.array(windows[a : a + 4096], np.int64), walks) == keys[:, own]):
+            met[r, own[equal]] = True
+    return (np.cumsum(met, axis=0) > 0).mean(axis=1)
+
+
+@lru_cache(maxsize=1024)
+def measured_walks(length: int, share: float = MAX_EDITS, recall: float = TARGET_RECALL) -> int:
+    """Walks, in steps of 8, after which the measured share of lost pieces is under half of what ``recall`` allows."""
+    walks = 64
+    while True:
+        enough = np.flatnonzero(1 - meetings(length, walks, share) < (1 - recall) / 2)
+        if len(enough):
+            return -(-(int(enough[0]) + 1) // 8) * 8
+        walks *= 2
+
+
+def walks_for(length: int, share: float = MAX_EDITS) -> int:
+    """Walks for a piece of ``length`` words; beyond the table (more edits than MAX_EDITS allows) they are measured now."""
+    return WALKS[allowed_edits(length)] if share <= MAX_EDITS else measured_walks(length, share)
+
+
 @dataclass
 class Benchmark:
     """One block of items, ready for matching: vocabulary, surviving-run grams and LSH tables."""
 
     items: list[tuple[int, str]]
     share: float = MAX_EDITS
-    walks: int = 0
     vocabulary: dict[str, int] = field(default_factory=dict)
     codes: list[np.ndarray] = field(default_factory=list)
     ids: list[int] = field(default_factory=list)
 
     def __post_init__(self):
-        self.walks = self.walks or repetitions()
         for item_id, text in self.items:
             ws = words_of(text or "")
             if ws:
                 self.ids.append(item_id)
                 self.codes.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in ws], np.int64))
-        # Gram hash -> (item length, place in the item), per gram length.
+        # (item, start in the item, codes) of every piece.
+        self.pieces = [(i, x, c[x:y]) for i, c in enumerate(self.codes) for x, y in pieces_of(len(c))]
+        # Gram hash -> (piece length, place in the piece), per gram length.
         self.grams: dict[int, tuple[np.ndarray, dict[int, set]]] = {}
         found: dict[int, dict[int, set]] = {}
-        for c in self.codes:
+        for _, _, c in self.pieces:
             g = gram_length(len(c), self.share)
             own = found.setdefault(g, {})
             for q, h in enumerate(self.gram_hashes(c, g).tolist()):
                 own.setdefault(h, set()).add((len(c), q))
         self.grams = {g: (np.array(sorted(own), np.uint64), own) for g, own in found.items()}
-        # Per item length, the LSH tables: (walk, key) -> items.
-        self.tables: dict[int, dict[tuple[int, int], list[int]]] = {}
-        for n in {len(c) for c in self.codes}:
-            members = [i for i, c in enumerate(self.codes) if len(c) == n]
-            keys = cgk_keys(np.stack([self.codes[i] for i in members]), self.walks)
-            table: dict[tuple[int, int], list[int]] = {}
-            for r, row in enumerate(keys.tolist()):
-                for i, key in zip(members, row, strict=True):
-                    table.setdefault((r, key), []).append(i)
-            self.tables[n] = table
+        # Per piece length, the LSH table, key of any walk -> pieces, and its keys.
+        self.tables: dict[int, tuple[np.ndarray, dict[int, list[int]]]] = {}
+        for n in {len(c) for _, _, c in self.pieces}:
+            members = [j for j, (_, _, c) in enumerate(self.pieces) if len(c) == n]
+            table: dict[int, list[int]] = {}
+            for row in self.keys(np.stack([self.pieces[j][2] for j in members])).tolist():
+                for j, key in zip(members, row, strict=True):
+                    table.setdefault(key, []).append(j)
+            self.tables[n] = np.array(sorted(table), np.uint64), table
+
+    def keys(self, windows: np.ndarray) -> np.ndarray:
+        """LSH keys of all walks for windows of one length, mixed with the walk's number."""
+        keys = cgk_keys(windows, walks_for(windows.shape[1], self.share))
+        return _mixed(keys + np.arange(1, len(keys) + 1, dtype=np.uint64)[:, None])
 
     @staticmethod
     def gram_hashes(codes: np.ndarray, g: int) -> np.ndarray:
@@ -181,7 +244,7 @@ class Benchmark:
         return np.fromiter((get(w, 0) for w in words_of(text)), np.int64)
 
     def windows(self, codes: np.ndarray) -> set[tuple[int, int]]:
-        """(item length, start) of every item-sized window around a surviving run, with starts shifted by up to the allowed edits."""
+        """(piece length, start) of every piece-sized window around a surviving run, with starts shifted by up to the allowed edits."""
         out = set()
         for g, (known, where) in self.grams.items():
             hashes = self.gram_hashes(codes, g)
@@ -201,9 +264,10 @@ class Benchmark:
         for d, codes in enumerate(docs):
             for n, start in self.windows(codes):
                 by_length.setdefault(n, []).append((d, start))
-        best: dict[tuple[int, int], tuple[int, int]] = {}
+        # (document, item) -> where the item may start and by how much this may be off.
+        met: dict[tuple[int, int], set[tuple[int, int]]] = {}
         for n, places in by_length.items():
-            k = allowed_edits(n, self.share)
+            known, table = self.tables[n]
             for a in range(0, len(places), 4096):
                 part = places[a : a + 4096]
                 # Words beyond a document's ends are a symbol that no item holds.
@@ -211,19 +275,27 @@ class Benchmark:
                 for row, (d, s) in zip(rows, part, strict=True):
                     own = docs[d][max(0, s) : max(0, s + n)]
                     row[max(0, -s) : max(0, -s) + len(own)] = own
-                keys = cgk_keys(rows, self.walks).tolist()
-                table, seen = self.tables[n], set()
-                for r, walk in enumerate(keys):
-                    for (d, s), key in zip(part, walk, strict=True):
-                        for i in table.get((r, key), ()):
-                            seen.add((d, i, s))
-                for d, i, s in sorted(seen):
-                    if (d, i) in best and best[d, i][0] == 0:
-                        continue
-                    low = max(0, s - k)
-                    edits, end = edits_within(self.codes[i], docs[d][low : max(0, s + n + k)])
-                    if edits <= k and (edits, low + end) < best.get((d, i), (k + 1, 0)):
-                        best[d, i] = (edits, low + end)
+                keys = self.keys(rows)
+                equal = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+                for r, w in np.argwhere(equal).tolist():
+                    d, s = part[w]
+                    for j in table[int(keys[r, w])]:
+                        i, x, _ = self.pieces[j]
+                        met.setdefault((d, i), set()).add((s - x, allowed_edits(n, self.share)))
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for (d, i), starts in met.items():
+            n = len(self.codes[i])
+            k = allowed_edits(n, self.share)
+            spans: list[list[int]] = []
+            for low, high in sorted((max(0, s - k - off), s + n + k + off) for s, off in starts):
+                if spans and low <= spans[-1][1]:
+                    spans[-1][1] = max(spans[-1][1], high)
+                else:
+                    spans.append([low, high])
+            for low, high in spans:
+                edits, end = edits_within(self.codes[i], docs[d][low : max(0, high)])
+                if edits <= k and (edits, low + end) < best.get((d, i), (k + 1, 0)):
+                    best[d, i] = (edits, low + end)
         return [(d, i, e, end) for (d, i), (e, end) in sorted(best.items())]
 
 

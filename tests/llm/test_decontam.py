@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from helpers import EDGE, LONG, edge_docs, no_docs, rows_of
 
 from pricelake.llm import decontam as d
@@ -74,3 +75,28 @@ def test_rows_blocks_and_filter(spark):
     assert d.find_leaks(no_docs(spark), items).count() == 0
     assert d.find_leaks(edge_docs(spark), items.limit(0)).count() == 0
     assert d.without_leaks(edge_docs(spark), items.limit(0)).count() == len(EDGE)
+
+
+@pytest.mark.parametrize("n", [40, 100, 200, 400])
+def test_recall_at_the_largest_distance(n):
+    """Items of any length with exactly the edits allowed: few are lost, however far the random walks drift."""
+    rng, trials = np.random.default_rng(n), 100
+    vocabulary = 5000
+    found = 0
+    for t in range(trials // 20):
+        items = [rng.integers(1, vocabulary + 1, n).tolist() for _ in range(20)]
+        bench = d.Benchmark([(i, " ".join(map(str, x))) for i, x in enumerate(items)])
+        docs = []
+        for x in items:
+            around = rng.integers(1, vocabulary + 1, 60).tolist()
+            docs.append(" ".join(map(str, around[:30] + d.edited(rng, x, d.allowed_edits(n), vocabulary) + around[30:])))
+        got = {(k, i): e for k, i, e, _ in bench.leaks([bench.encode(x) for x in docs])}
+        assert set(got) <= {(k, k) for k in range(20)} and all(e <= d.allowed_edits(n) for e in got.values())
+        found += len(got)
+    assert found >= d.TARGET_RECALL * trials
+
+
+def test_walks_reach_the_recall_of_pieces():
+    assert max(y - x for n in range(1, 500) for x, y in d.pieces_of(n)) < 2 * d.PIECE
+    for n in (4, 9, 10, 19, 20, 25, 31, 35, 39):
+        assert d.meetings(n, d.walks_for(n), trials=300, seed=n)[-1] >= d.TARGET_RECALL, n
