@@ -60,3 +60,56 @@ SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(w.doc_id,
   w.doc_id = least(w.doc_id, coalesce(least.y, w.doc_id)) AS kept
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.x = w.doc_id
 """
+
+# Unsigned crc32 of an ASCII string: the table's entry of a byte is eight shifts, then one look-up a character.
+_CRC_TABLE = "list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"
+_MANIFEST_LEVELS = 12  # 8^12 leaves
+
+
+def _manifest_sql() -> str:
+    """The tree level by level: ``n{k}`` the nodes, ``p{k}`` every leaf's proof and fold up to there."""
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: f"sha256(concat({field('doc_id')}, {field('source')}, {field('lang')}, {field('n_chars')}, {field(text)}))"
+    steps = [
+        f"""crc_table AS (SELECT {_CRC_TABLE} AS t),
+d AS MATERIALIZED (SELECT doc_id, lang, {leaf('text')} AS leaf,
+  {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lower_leaf,
+  xor(list_reduce(list_prepend(4294967295, list_transform(range(1, 1 + length(CAST(doc_id AS VARCHAR))), lambda i: CAST(ascii(substring(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))),
+    lambda c, x: xor(c // 256, t[1 + xor(c % 256, x)])), 4294967295) % 3 = 0 AS tampered
+  FROM documents, crc_table),
+leaves AS MATERIALIZED (SELECT doc_id, leaf, CASE WHEN tampered THEN lower_leaf ELSE leaf END AS claim,
+  dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d)"""
+    ]
+
+    def tree(nodes: str, paths: str, tag: str, keep: str) -> tuple[str, str]:
+        """Climb from ``nodes (g, i, h)`` and ``paths (g, i, claim, proof, keep)`` to one node a group."""
+        for k in range(_MANIFEST_LEVELS):
+            steps.append(
+                f"""{tag}r{k} AS MATERIALIZED (SELECT g, i // 8 AS r, list(h ORDER BY i) AS hs, any_value(n) AS n FROM (
+  SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {nodes}) GROUP BY 1, 2)"""
+            )
+            steps.append(
+                f"""{tag}n{k} AS MATERIALIZED (SELECT g, r AS i, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h FROM {tag}r{k})"""
+            )
+            left, right = "array_to_string(hs[1 : p.i % 8], '')", "array_to_string(hs[p.i % 8 + 2 : 8], '')"
+            steps.append(
+                f"""{tag}p{k} AS MATERIALIZED (SELECT p.g, r AS i, {keep},
+  CASE WHEN n > 1 THEN sha256(concat({left}, claim, {right})) ELSE claim END AS claim,
+  CASE WHEN n > 1 THEN concat(proof, {left}, {right}) ELSE proof END AS proof
+  FROM {paths} p JOIN {tag}r{k} x ON x.g = p.g AND x.r = p.i // 8)"""
+            )
+            nodes, paths = f"{tag}n{k}", f"{tag}p{k}"
+        return nodes, paths
+
+    nodes, paths = tree("(SELECT g, i, leaf AS h FROM leaves)", "(SELECT *, '' AS proof FROM leaves)", "a", "doc_id, leaf")
+    steps.append(f"tops AS (SELECT 0 AS g, g AS i, h FROM {nodes})")
+    steps.append(f"lower AS (SELECT 0 AS g, p.g AS i, doc_id, leaf, claim, proof, h AS subroot FROM {paths} p JOIN {nodes} n ON n.g = p.g)")
+    nodes, paths = tree("tops", "lower", "b", "doc_id, leaf, subroot")
+    return f"""WITH {", ".join(steps)}
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, claim AS folded_root, claim = h AS verified
+FROM {paths} CROSS JOIN {nodes}
+"""
+
+
+MANIFEST_SQL = _manifest_sql()

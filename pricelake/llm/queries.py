@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import chat, decontam, langid, minhash, mixing, rules, suffix, tokens, toxicity, warc
+from pricelake.llm import chat, decontam, extract, langid, manifest, minhash, mixing, rules, structure, suffix, tokens, toxicity, warc
 from pricelake.llm.common import table, written
-from pricelake.llm.oracle import MINHASH_SQL, RULES_SQL, WARC_SQL
+from pricelake.llm.oracle import MANIFEST_SQL, MINHASH_SQL, RULES_SQL, WARC_SQL
 from pricelake.session import scratch_path
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -84,6 +84,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.summaries(structure.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = manifest.manifest(manifest.document_leaves(table(spark, sf_dir, "documents")))
+    return rows.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -97,6 +110,9 @@ QUERIES = {
         op8_suffix_dedup,
         op9_toxicity,
         op10_quality_rules,
+        op11_html_extraction,
+        op12_structure_repair,
+        op13_merkle_manifest,
     )
 }
-ORACLE_SQL = {"op2_warc": WARC_SQL, "op6_minhash": MINHASH_SQL, "op10_quality_rules": RULES_SQL}
+ORACLE_SQL = {"op2_warc": WARC_SQL, "op6_minhash": MINHASH_SQL, "op10_quality_rules": RULES_SQL, "op13_merkle_manifest": MANIFEST_SQL}
