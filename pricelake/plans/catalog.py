@@ -23,7 +23,7 @@ from pricelake.operators import arbitrage, clean, feeds, ingest, msp, regions, s
 from pricelake.constants import LEGACY_PRICE_INDEX_COLUMN
 from pricelake.plans.landing import land_pages
 from pricelake.schema import RAW_FIELDS, Config
-from pricelake.session import application_scratch, scratch_path
+from pricelake.session import application_scratch, scratch_path, written
 from pricelake.sources import csv as csv_src
 from pricelake.sources import fixtures as fx
 from pricelake.sources import geo, inventory, results
@@ -79,14 +79,8 @@ def _anchor(spark: SparkSession, sf_dir: str):
     return pq.read_anchor(spark, materialize_processed(spark, sf_dir))
 
 
-def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _written(spark, arbitrage.daily_prices(_processed(spark, sf_dir)), "daily-prices")
+    return written(spark, arbitrage.daily_prices(_processed(spark, sf_dir)), "daily-prices")
 
 
 def _renamed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -200,7 +194,7 @@ def q_region_summary(spark, sf_dir):
 
 
 def q_arbitrage_matrix(spark, sf_dir):
-    signal = _written(spark, arbitrage.arbitrage_signal(_processed(spark, sf_dir), CFG), "arbitrage-signal")
+    signal = written(spark, arbitrage.arbitrage_signal(_processed(spark, sf_dir), CFG), "arbitrage-signal")
     return feeds.matrix_cells(feeds.arbitrage_matrix(signal))
 
 
@@ -248,13 +242,13 @@ def q_volatility_feed(spark, sf_dir):
 # ----------------------------------------------------------------------------- sources, sinks, landing
 
 def q_flatten_pages(spark, sf_dir):
-    pages = _written(spark, fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir))), "pages")
+    pages = written(spark, fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir))), "pages")
     return pages_src.flatten_pages(pages)
 
 
 def q_page_quarantine(spark, sf_dir):
     """Pages and records that parse, and pages that do not."""
-    pages = _written(spark, fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir))), "pages")
+    pages = written(spark, fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir))), "pages")
     good, bad = pages_src.split_pages(pages)
     has_bad = bad.agg(F.count(F.lit(1)) > 0).scalar()
     counts = good.agg(F.count(F.lit(1)).alias("good_pages"), F.coalesce(F.sum(F.size("records")), F.lit(0)).alias("records"))
@@ -286,7 +280,7 @@ def q_sql_view(spark, sf_dir):
 
 def q_pending_partitions(spark, sf_dir):
     landed = fx.raw_records(spark, sf_dir).select(fx.landing_key().alias("state")).filter(F.col("state").isNotNull())
-    entries = _written(spark, ingest.manifest_entries(landed), "partitions")  # one row per state
+    entries = written(spark, ingest.manifest_entries(landed), "partitions")  # one row per state
     manifest = entries.join(fx.done_partitions(spark, sf_dir), "state", "left_semi")
     return ingest.pending_partitions(entries.select("state", F.col("rows").alias("raw_rows")), manifest)
 

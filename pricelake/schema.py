@@ -30,6 +30,8 @@ CLEAN_SCHEMA = T.StructType(
 
 # Layout of the processed table on disk: partition columns come last.
 PARTITION_COLUMNS = ("year", "state")
+# Innermost partition: the write that brought the rows.
+BATCH_COLUMN = "ingest_batch"
 
 MANIFEST_SCHEMA = T.StructType(
     [

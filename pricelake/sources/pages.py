@@ -23,9 +23,19 @@ def _field(record: Column, name: str) -> Column:
     return F.when(F.map_contains_key(record, F.lit(name)), primary).otherwise(F.coalesce(record[alias], F.lit("")))
 
 
+def records_of(value: Column) -> Column:
+    """The ``records`` list of a page's text; null where the text does not parse or has none."""
+    return F.from_json(value, PAGE_SCHEMA)["records"]
+
+
+def page_fields(record: Column) -> list[Column]:
+    """The ten raw fields of a record, in order."""
+    return [_field(record, f).alias(f) for f in RAW_FIELDS]
+
+
 def split_pages(pages: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """(pages with their parsed ``records``, pages that do not parse or have no ``records`` list, as raw text)."""
-    parsed = pages.select(F.col(value_col).alias("value"), F.from_json(F.col(value_col), PAGE_SCHEMA)["records"].alias("records"))
+    parsed = pages.select(F.col(value_col).alias("value"), records_of(F.col(value_col)).alias("records"))
     return parsed.filter(F.col("records").isNotNull()).select("records"), parsed.filter(F.col("records").isNull()).select("value")
 
 
@@ -37,13 +47,12 @@ def flatten_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
     Pages that do not parse are the other side of :func:`split_pages`.
     """
     records = split_pages(pages, value_col)[0].select(F.explode("records").alias("_r"))
-    return records.select(*[_field(F.col("_r"), f).alias(f) for f in RAW_FIELDS])
+    return records.select(*page_fields(F.col("_r")))
 
 
 def dry_run(pages: DataFrame, value_col: str = "value") -> DataFrame:
     """Field names and JSON of the first record of the first non-empty page; nothing is written."""
-    records = F.from_json(F.col(value_col), PAGE_SCHEMA)["records"]
-    first = pages.select(F.get(records, 0).alias("_r"))  # null for an empty page (no ANSI index error)
+    first = pages.select(F.get(records_of(F.col(value_col)), 0).alias("_r"))  # null for an empty page (no ANSI index error)
     return first.filter(F.col("_r").isNotNull()).select(
         F.array_sort(F.map_keys("_r")).alias("fields"), F.to_json("_r").alias("record")
     ).limit(1)
@@ -52,3 +61,26 @@ def dry_run(pages: DataFrame, value_col: str = "value") -> DataFrame:
 def read_pages(spark, path: str, one_per_line: bool = False) -> DataFrame:
     """Page files as text (``value``): a file is one page, however it is laid out, or holds one page per line."""
     return spark.read.text(path, wholetext=not one_per_line, recursiveFileLookup=True)
+
+
+def _file_columns() -> tuple[Column, ...]:
+    names = (("file_path", "path"), ("file_size", "size"), ("file_modification_time", "modified"))
+    return tuple(F.col(f"_metadata.{hidden}").alias(name) for hidden, name in names)
+
+
+def list_page_files(spark, path: str) -> DataFrame:
+    """``path, size, modified`` of every page file, by listing only."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(*_file_columns())
+
+
+def read_pages_of(spark, path: str, files: DataFrame, one_per_line: bool = False) -> DataFrame:
+    """``value, path, size, modified`` of the pages in ``files (path, size, modified)`` below ``path``.
+
+    The files' time span is a predicate on file metadata, so Spark opens no file outside it; within it, files that are
+    not listed are left out by a join.
+    """
+    span = files.agg(F.min(F.unix_micros("modified")).alias("low"), F.max(F.unix_micros("modified")).alias("high")).first()
+    pages = read_pages(spark, path, one_per_line).select("value", *_file_columns())
+    pages = pages.where(F.col("modified").between(*(F.timestamp_micros(F.lit(t)) for t in span)))
+    return pages.join(files.select("path", "size", "modified"), ["path", "size", "modified"], "left_semi")

@@ -1,18 +1,34 @@
-"""The processed price table: Parquet partitioned by year and state."""
+"""The processed price table: Parquet partitioned by year, state and the write that brought the rows.
+
+Every write has a name, its ``ingest_batch``, and puts its rows under a partition of that name (below year and
+state). It goes through Spark's dynamic partition overwrite: executors write into a staging folder of
+the job and Spark's committer publishes the partitions, so a write that is repeated under its name replaces itself and
+writes under different names never touch each other's files.
+
+Beside the data a small append-only log holds the latest arrival date of each write. A write enters itself
+as pending first and with its date afterwards: whoever finds a pending entry (the write died in between, or is
+running) looks that batch's date up in the data.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pricelake.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, PARTITION_COLUMNS
+from pricelake.schema import BATCH_COLUMN, CLEAN_COLUMNS, CLEAN_SCHEMA, PARTITION_COLUMNS
 from pricelake.session import path_exists
 
 # Order of rows inside each written partition (after the partition columns).
 SORT_COLUMNS = ("arrival_date", "commodity")
+BASE_BATCH = "base"  # the write that replaces the whole table
+WHOLE_TABLE = "*"  # log entry of a table that was found without a log
+TABLE_SCHEMA = T.StructType(CLEAN_SCHEMA.fields + [T.StructField(BATCH_COLUMN, T.StringType(), True)])
+_LOG_SCHEMA = "batch string, at long, pending boolean, latest date"
 
 
 def write_processed(
@@ -21,8 +37,9 @@ def write_processed(
     mode: str = "overwrite",
     dynamic_overwrite: bool = False,
     max_records_per_file: int | None = None,
+    batch: str | None = None,
 ) -> None:
-    """Parquet, Hive-style ``year=/state=`` directories, snappy.
+    """Parquet, Hive-style ``year=/state=/ingest_batch=`` directories, snappy.
 
     A ``rebalance`` hint on the partition columns groups rows of one
     (year, state) into few tasks -- few files per directory -- while AQE splits
@@ -30,71 +47,77 @@ def write_processed(
     Within a task rows are sorted by the partition columns (which the writer
     needs anyway) and then by date and commodity, so every row group carries
     tight min/max statistics and date or commodity predicates skip row groups.
-    ``dynamic_overwrite`` replaces only the partitions present in ``df``.
+
+    ``mode="overwrite"`` replaces the whole table, ``"append"`` adds a batch under a new name.
+    With ``batch`` (append) or ``dynamic_overwrite`` the partitions of that batch (default ``base``) which ``df`` holds are
+    replaced and everything else stays.
 
     The latest arrival date is observed by the write itself and kept beside
-    the data as a one-row table (:func:`read_anchor`).
+    the data (:func:`read_anchor`).
     """
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode must be overwrite or append, not {mode!r}")
     spark, seen = df.sparkSession, Observation(f"anchor-{uuid.uuid4().hex}")
+    whole = mode == "overwrite" and not dynamic_overwrite
+    fresh = mode == "append" and batch is None
+    batch = batch or (uuid.uuid4().hex if fresh else BASE_BATCH)
     laid_out = (
         df.select(*CLEAN_COLUMNS)
         .hint("rebalance", *PARTITION_COLUMNS)
         .sortWithinPartitions(*PARTITION_COLUMNS, *SORT_COLUMNS)
+        .withColumn(BATCH_COLUMN, F.lit(batch))
         .observe(seen, F.max("arrival_date").alias("latest"))  # on top: below, AQE drops it when no row comes up
     )
-    before = read_anchor(spark, path) if mode == "append" else None
-    w = laid_out.write.mode(mode)
-    if dynamic_overwrite:
-        w = w.option("partitionOverwriteMode", "dynamic")
+    if not whole:
+        read_anchor(spark, path)  # a table without a log gets one before it changes
+        _log(spark, path, batch, pending=True)
+    w = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
-    w.partitionBy(*PARTITION_COLUMNS).option("compression", "snappy").parquet(path)
-    if dynamic_overwrite:
-        # Replaced partitions may have held the latest date: look it up once.
-        latest = read_processed(spark, path).agg(F.max("arrival_date").alias("latest")).first()["latest"]
+    w.partitionBy(*PARTITION_COLUMNS, BATCH_COLUMN).option("compression", "snappy").parquet(path)
+    if whole or fresh:
+        _log(spark, path, batch, latest=seen.get["latest"])
     else:
-        latest = seen.get["latest"]
-    write_anchor(spark, path, max(filter(None, (before, latest)), default=None))
+        read_anchor(spark, path)  # partitions of the batch that stayed may hold a later date: look them up once
 
 
-def _anchor_path(path: str) -> str:
+def _log_path(path: str) -> str:
     return f"{path.rstrip('/')}/_anchor"  # readers of the table skip names that begin with "_"
 
 
-def write_anchor(spark: SparkSession, path: str, latest: dt.date | None) -> None:
-    row = spark.createDataFrame([(latest,)], "latest date")
-    row.coalesce(1).write.mode("overwrite").parquet(_anchor_path(path))
+def _log(spark: SparkSession, path: str, batch: str, pending: bool = False, latest: dt.date | None = None) -> None:
+    row = spark.createDataFrame([(batch, time.time_ns(), pending, latest)], _LOG_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(_log_path(path))
 
 
 def read_anchor(spark: SparkSession, path: str) -> dt.date | None:
-    """Latest arrival date of the processed table at ``path`` (one stored row); ``None`` when it has none."""
-    if not path_exists(spark, _anchor_path(path)):
-        return None
-    return spark.read.schema("latest date").parquet(_anchor_path(path)).first()["latest"]
+    """Latest arrival date of the processed table at ``path``; ``None`` when it has no rows or does not exist.
 
-
-def publish(spark: SparkSession, staged: str, path: str) -> int:
-    """Move the data files of a finished write at ``staged`` into the table at ``path``; files moved.
-
-    File names are unique, so a move that was cut short is finished by calling
-    this again: what has been moved is no longer in ``staged``.
+    Normally one small read. Entries of writes that did not finish, and a table without a log, are looked up in the
+    data (only the batches concerned) and entered.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
-    source = hadoop(staged)
-    fs = source.getFileSystem(conf)
-    root = fs.makeQualified(source).toUri().getPath()
-    listing, moves = fs.listFiles(source, True), []
-    while listing.hasNext():
-        found = listing.next().getPath()
-        if found.getName().startswith("part-") and "/_" not in found.toUri().getPath()[len(root) :]:
-            moves.append(found)
-    for found in moves:
-        target = hadoop(path.rstrip("/") + found.toUri().getPath()[len(root) :])
-        fs.mkdirs(target.getParent())
-        if not fs.rename(found, target):
-            raise OSError(f"could not move {found} to {target}")
-    return len(moves)
+    if not path_exists(spark, path):
+        return None
+    log = None
+    if path_exists(spark, _log_path(path)):
+        entries = spark.read.schema(_LOG_SCHEMA).parquet(_log_path(path))
+        log = entries.groupBy("batch").agg(F.max_by(F.struct("pending", "latest"), "at").alias("e"), F.max("at").alias("at"))
+        # One row per write that is or was under way.
+        state = log.agg(F.max("e.latest").alias("latest"), F.count(F.lit(1)).alias("n"), F.collect_list(F.when(F.col("e.pending"), F.col("batch"))).alias("open")).first()
+    if log is None or not state["n"]:
+        latest = read_table(spark, path).agg(F.max("arrival_date")).first()[0]
+        _log(spark, path, WHOLE_TABLE, latest=latest)
+        return latest
+    found = [state["latest"]]
+    for batch in state["open"]:
+        found.append(read_table(spark, path).where(F.col(BATCH_COLUMN) == batch).agg(F.max("arrival_date")).first()[0])
+        _log(spark, path, batch, latest=found[-1])
+    return max(filter(None, found), default=None)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table with ``ingest_batch``, the name of the write that brought each row."""
+    return spark.read.schema(TABLE_SCHEMA).parquet(path)
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
@@ -104,8 +127,7 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
     number stays a string) and avoids schema inference over all footers.
     A blank or null state comes back as null.
     """
-    df = spark.read.schema(CLEAN_SCHEMA).parquet(path)
-    return df.select(*CLEAN_COLUMNS)
+    return read_table(spark, path).select(*CLEAN_COLUMNS)
 
 
 def register_view(df: DataFrame, name: str = "price_records") -> None:

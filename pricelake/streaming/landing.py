@@ -2,14 +2,15 @@
 
 The file source remembers which CSV files it has committed in the checkpoint,
 so re-running picks up only files that arrived since the last run. Each batch
-is cleaned and audited like the batch job, written to a staging folder under
-the checkpoint and then moved file by file into the plain partitioned table
-that the batch job writes as well. A batch that died is repeated by Spark; the
-staging folder tells how far it came, so no row is lost or doubled.
+is cleaned and audited like the batch job and written straight into the
+partitioned table that the batch job writes as well, under a name of its own.
+A batch that died is repeated by Spark and then replaces itself, so no row is
+lost or doubled.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pricelake.operators.clean import clean_with_observation, observed_audit
 from pricelake.schema import Config
 from pricelake.session import path_exists
 from pricelake.sources.csv import RAW_SCHEMA_WITH_CORRUPT, csv_options, split_malformed
-from pricelake.sources.parquet import publish, read_anchor, write_anchor, write_processed
+from pricelake.sources.parquet import write_processed
 
 
 def raw_csv_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -30,23 +31,27 @@ def raw_csv_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
     return reader.csv(landing)
 
 
+def batch_name(spark: SparkSession, checkpoint: str, batch: int) -> str:
+    """The name of a stream's batch in the table: that of its query, which a new checkpoint changes, and the batch's number."""
+    metadata = f"{checkpoint.rstrip('/')}/metadata"
+    query = json.loads(spark.read.text(metadata, wholetext=True).first()["value"])["id"] if path_exists(spark, metadata) else checkpoint
+    return f"stream-{hashlib.sha1(query.encode()).hexdigest()[:16]}-{batch}"
+
+
 def land_batch(raw: DataFrame, batch: int, processed: str, checkpoint: str, cfg: Config, quarantine: str | None = None) -> dict:
     """Clean one batch of raw rows into the table; repeating a batch adds nothing. Returns the batch's audit counts.
 
-    Order: staging write (replaced if it did not finish), quarantine (replaced),
-    audit file, anchor, moves. The audit file marks the staging write as finished.
+    Table, quarantine and audit are written in this order and each replaces what the same batch left there; the audit
+    file marks the batch as finished.
     """
     spark = raw.sparkSession
-    staged, audit = f"{checkpoint.rstrip('/')}/staged/batch={batch}", f"{checkpoint.rstrip('/')}/audit/batch={batch}"
+    audit = f"{checkpoint.rstrip('/')}/audit/batch={batch}"
     if not path_exists(spark, f"{audit}/_SUCCESS"):
         cleaned, seen = clean_with_observation(raw, cfg, f"batch-{batch}")
-        write_processed(cleaned, staged)
+        write_processed(cleaned, processed, mode="append", batch=batch_name(spark, checkpoint, batch))
         if quarantine:
             split_malformed(raw)[1].write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch={batch}")
         spark.createDataFrame([(json.dumps(observed_audit(seen, raw, cfg)),)], "value string").coalesce(1).write.mode("overwrite").text(audit)
-    latest = max(filter(None, (read_anchor(spark, processed), read_anchor(spark, staged))), default=None)
-    publish(spark, staged, processed)
-    write_anchor(spark, processed, latest)
     return json.loads(spark.read.text(audit).first()["value"])
 
 
