@@ -6,11 +6,14 @@ import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from pricelake.session import scratch_path
+from pricelake.operators.places import placed
+from pricelake.session import written
+
+__all__ = ["SLICE_ROWS", "WORD_RE", "ascii_lower", "by_shuffle", "keep_where", "map_arrow", "map_rows", "packed", "placed", "table", "written"]
 
 # A word, in every contract: a run of anything but space and the five ASCII white-space controls.
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -21,15 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the session's shared checkpoint folder and read it back.
-
-    Cuts the lineage at a table every executor can reach, so a lost executor
-    costs a re-read and not a recomputation.
-    """
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def packed(docs: DataFrame, *extra: Column) -> DataFrame:
+    """``own``, a struct of all columns of ``docs``, beside ``extra`` ones: whatever the input's columns are called, none can
+    clash with those of an operator. ``select("own.*")`` gives them back."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own"), *extra)
 
 
 def by_shuffle(df: DataFrame) -> DataFrame:

@@ -66,6 +66,12 @@ _CRC_TABLE = "list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0
 _MANIFEST_LEVELS = 12  # 8^12 leaves
 
 
+def _crc(text: str) -> str:
+    """Unsigned crc32 of an ASCII string, beside ``crc_table``."""
+    codes = f"list_transform(range(1, 1 + length({text})), lambda i: CAST(ascii(substring({text}, i, 1)) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, x: xor(c // 256, t[1 + xor(c % 256, x)])), 4294967295)"
+
+
 def _manifest_sql() -> str:
     """The tree level by level: ``n{k}`` the nodes, ``p{k}`` every leaf's proof and fold up to there."""
     field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
@@ -74,8 +80,7 @@ def _manifest_sql() -> str:
         f"""crc_table AS (SELECT {_CRC_TABLE} AS t),
 d AS MATERIALIZED (SELECT doc_id, lang, {leaf('text')} AS leaf,
   {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lower_leaf,
-  xor(list_reduce(list_prepend(4294967295, list_transform(range(1, 1 + length(CAST(doc_id AS VARCHAR))), lambda i: CAST(ascii(substring(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))),
-    lambda c, x: xor(c // 256, t[1 + xor(c % 256, x)])), 4294967295) % 3 = 0 AS tampered
+  {_crc('CAST(doc_id AS VARCHAR)')} % 3 = 0 AS tampered
   FROM documents, crc_table),
 leaves AS MATERIALIZED (SELECT doc_id, leaf, CASE WHEN tampered THEN lower_leaf ELSE leaf END AS claim,
   dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
@@ -113,3 +118,71 @@ FROM {paths} CROSS JOIN {nodes}
 
 
 MANIFEST_SQL = _manifest_sql()
+
+# The given pages hold their main text in one article element, with p, h1, b and br elements inside: that is what is taken here.
+EXTRACT_SQL = r"""
+WITH a AS (SELECT row_number() OVER () AS r, page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*?)(?:</article>|$)', 1), '') AS inside FROM pages),
+b AS (SELECT r, unnest(string_split_regex(inside, '</?(?:p|h1)>')) AS part, unnest(range(len(string_split_regex(inside, '</?(?:p|h1)>')))) AS i FROM a),
+c AS (SELECT r, i, replace(regexp_replace(part, '</?b>', '', 'g'), '<br>', ' ') AS part FROM b),
+d AS (SELECT r, i, replace(replace(regexp_replace(part, '&quot;?', '"', 'g'), '&lt;', '<'), '&gt;', '>') AS part FROM c),
+e AS (SELECT r, i, trim(regexp_replace(regexp_replace(part, '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS part FROM d),
+t AS (SELECT r, string_agg(part, chr(10) ORDER BY i) AS text FROM e WHERE part <> '' GROUP BY 1)
+SELECT page_id, url, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars FROM a LEFT JOIN t USING (r)
+"""
+
+
+def _structure_sql() -> str:
+    """The search row by row in a recursion; a state is a string: cost in 12 digits, edits, chr(1), what is left."""
+    cost = lambda x: f"CAST(substring({x}, 1, 12) AS BIGINT)"
+    edits = lambda x: f"substring({x}, 13, instr({x}, chr(1)) - 13)"
+    left = lambda x: f"substring({x}, instr({x}, chr(1)) + 1)"
+
+    def edit(x, more, letter, message=None):
+        rest = left(x) if message is None else f"{left(x)} || chr(10) || {message}"
+        return f"(lpad(CAST({cost(x)} + {more} AS VARCHAR), 12, '0') || {edits(x)} || '{letter}' || chr(1) || {rest})"
+
+    def inserted(source):
+        u = ", ".join(edit(f"x{k}", 5, "I", "'user:'") for k in (0, 1, 3))
+        return f"(SELECT * EXCLUDE (x2, x3), least(x2, {u}) AS x2, least(x3, {edit('x2', 5, 'I', quoted)}) AS x3 FROM {source})"
+
+    quoted = "'assistant:'"
+    more = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+    kept = lambda x, initial: f"CASE WHEN first = '{initial}' THEN {edit(x, more, 'K', 'said')} END"
+    given = lambda x, role: edit(x, f"1 + {more}", "R", f"'{role}:' || text")
+    free = lambda old, *new: f"CASE WHEN fault IN ('blank', 'duplicate') THEN {old} ELSE least({', '.join((old, *new))}) END"
+    to_u = [f(x, v) for x in ("x0", "x1", "x3") for f, v in ((kept, "u"), (given, "user"))]
+    step = inserted(inserted("(SELECT s.*, f.first, f.said, f.text, f.fault FROM search s JOIN f ON f.g = s.g AND f.place = s.place)"))
+    start = "'000000000000' || chr(1)"
+    return f"""
+WITH RECURSIVE crc_table AS (SELECT {_CRC_TABLE} AS t),
+c AS (SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+k AS (SELECT g, turn, role, text, {_crc('name')} % 20 AS kind FROM c, crc_table),
+d AS (SELECT g, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM k),
+o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS place FROM d),
+f AS MATERIALIZED (SELECT g, place, turn, role, text, substring(role, 1, 1) AS first, role || ':' || text AS said,
+  lag(substring(role, 1, 1)) OVER (PARTITION BY g ORDER BY place) AS before,
+  CASE WHEN NOT regexp_matches(text, '{_WORD}') THEN 'blank' WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY place) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?]{_SPACE}*$') THEN 'truncated' END AS fault FROM o),
+search AS (
+  SELECT DISTINCT g, CAST(1 AS BIGINT) AS place, {start} AS x0, CAST(NULL AS VARCHAR) AS x1, CAST(NULL AS VARCHAR) AS x2, CAST(NULL AS VARCHAR) AS x3 FROM c
+  UNION ALL
+  SELECT g, place + 1, {edit('x0', 2, 'D')},
+    {free(edit('x1', 2, 'D'), kept('x0', 's'))},
+    {free(edit('x2', 2, 'D'), *to_u)},
+    {free(edit('x3', 2, 'D'), kept('x2', 'a'), given('x2', 'assistant'))}
+  FROM {step}),
+ends AS (SELECT g, max(place) AS place FROM search GROUP BY 1),
+best AS (SELECT g, least(x0, x3) AS x FROM {inserted(inserted("(SELECT s.* FROM search s JOIN ends USING (g, place))"))}),
+n AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (before IS NOT NULL AND (before || first) NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY 1)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, {cost('x')} AS cost, {edits('x')} AS audit, sha256(substring({left('x')}, 2)) AS repaired_sha256
+FROM (SELECT DISTINCT g, conv_id FROM c) JOIN best USING (g) LEFT JOIN n USING (g)
+"""
+
+
+STRUCTURE_SQL = _structure_sql()

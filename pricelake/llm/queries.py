@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pricelake.llm import chat, decontam, extract, langid, manifest, minhash, mixing, rules, structure, suffix, tokens, toxicity, warc
 from pricelake.llm.common import table, written
-from pricelake.llm.oracle import MANIFEST_SQL, MINHASH_SQL, RULES_SQL, WARC_SQL
+from pricelake.llm.oracle import EXTRACT_SQL, MANIFEST_SQL, MINHASH_SQL, RULES_SQL, STRUCTURE_SQL, WARC_SQL
 from pricelake.session import scratch_path
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -33,6 +33,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = written(spark, records, "warc-read")
     # A revisit's payload is that of the response with its digest.
     sizes = records.where("record_type = 'response'").groupBy("payload_digest").agg(F.first("n").alias("payload_bytes"))
+    sizes = written(spark, sizes, "warc-sizes")  # as in warc.tagged: AQE may split the records of a hot digest
     return records.join(sizes, "payload_digest").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
@@ -115,4 +116,11 @@ QUERIES = {
         op13_merkle_manifest,
     )
 }
-ORACLE_SQL = {"op2_warc": WARC_SQL, "op6_minhash": MINHASH_SQL, "op10_quality_rules": RULES_SQL, "op13_merkle_manifest": MANIFEST_SQL}
+ORACLE_SQL = {
+    "op2_warc": WARC_SQL,
+    "op6_minhash": MINHASH_SQL,
+    "op10_quality_rules": RULES_SQL,
+    "op11_html_extraction": EXTRACT_SQL,
+    "op12_structure_repair": STRUCTURE_SQL,
+    "op13_merkle_manifest": MANIFEST_SQL,
+}

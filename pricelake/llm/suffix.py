@@ -8,20 +8,25 @@ never cross documents.
    hash inside it. Consecutive windows with the same anchor form a *chunk* (the
    bytes they cover). Equal windows own equal anchors at the same place, so
    only chunks whose anchor gram occurs twice or more can hold a repeat.
-2. Equal chunks (same gram, same content) that occur twice are repeats whole.
+2. Equal chunks (same gram, same 128-bit digest of their bytes) that occur twice are repeats whole.
    They are counted with a combine before the shuffle, so passages with any
    number of copies and documents with any number of copies cost one row a task.
 3. Where a gram is shared by different chunks, the windows of one chunk of each
    kind are sorted as suffixes: multikey quicksort orders them by eight-byte
    keys down to a shallow depth, and blind tries order the groups that still
    agree. Neighbours that agree over the full length repeat. Grams are pooled
-   into sorts of bounded size. The windows of a gram with more than ``HOT_KINDS``
-   kinds of chunk are counted by 128-bit digest instead, which needs no group together.
-4. Spans are merged per distinct text and applied.
-
-Chunk contents are compared by 64-bit polynomial hash next to the 64-bit gram
-hash. Null texts are empty; texts shorter than ``length`` have no windows.
-Rows that repeat each give a row. Other columns are ignored.
+   into sorts of bounded size.
+4. A gram with more than ``HOT_KINDS`` kinds of chunk is dealt finer, by what stands
+   beside it. A window holds at least half of the bytes that are not the gram's to its left, or else at least half
+   to its right; the gram with its left half, and that with its right half, are the keys of
+   two smaller groups, and every window is in one of them. Chunks are clipped to those windows, equal clips are
+   counted as in 2., and a group that still has too many kinds is halved again. When
+   nothing is left to halve the key is the whole window and every group has one kind.
+5. Spans are merged per distinct text and applied.
+
+Gram hashes only find candidates: what is removed was equal by 128-bit digest
+or by its bytes. Null texts are empty; texts shorter than ``length`` have no windows.
+Rows that repeat each give a row. Other columns are ignored, and kept by ``without_repeats``.
 """
 
 from __future__ import annotations
@@ -34,11 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import map_arrow, map_rows, written
+from pricelake.llm.common import map_arrow, map_rows, packed, written
 
 LENGTH, GRAM = 200, 48
 SHALLOW = 40  # bytes that the quicksort orders before the tries take over
-# Sorts hold about so many chunks; grams with more kinds of chunk than that are counted instead.
+# Sorts hold about so many chunks; grams with more kinds of chunk than that are dealt finer.
 POOL_CHUNKS, HOT_KINDS = 4096, 2048
 # Window starts of a very long text are taken so many at a time.
 BLOCK = 1 << 20
@@ -72,7 +77,7 @@ def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Chunks of a text: gram hash, chunk hash, first and last window start of each."""
+    """Chunks of a text: gram hash, place of the gram, first and last window start of each."""
     parts = []
     for at in range(0, len(raw) - length + 1, BLOCK):
         x = np.frombuffer(raw, np.uint8, min(len(raw) - at, BLOCK + length - 1), at).astype(np.uint64)
@@ -85,10 +90,9 @@ def anchors(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndar
         place = (least & _PLACE).astype(np.int64)
         first = np.concatenate(([0], np.flatnonzero(place[1:] != place[:-1]) + 1))
         last = np.concatenate((first[1:] - 1, [len(place) - 1]))
-        content = (sums[last + length] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)
-        parts.append((grams[place[first]], _mixed(content), first + at, last + at))
+        parts.append((grams[place[first]], place[first] + at, first + at, last + at))
     if not parts:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
 
@@ -136,8 +140,49 @@ def blind_trie(buf: bytes, starts: list[int], length: int) -> list[list[int]]:
     return out
 
 
-def deep_shallow(buf: bytes, starts: np.ndarray, length: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the strings ``buf[s : s + length]``, and whether each equals the one before it."""
+def _partitioned(words: np.ndarray, starts: np.ndarray, order: np.ndarray, head: np.ndarray, limit: int) -> None:
+    """Multikey quicksort on eight-byte keys: each round splits every group by its pivot into less, equal and greater.
+
+    ``order`` and ``head`` (where a group begins) change in place. Equal ones go on with their next key, the others with
+    the same one, until a group has one member or its keys reach ``limit``. All groups of a round are split at once.
+    """
+    depth = np.zeros(len(order), np.int64)  # by place; the same throughout a group
+    while True:
+        begin = np.flatnonzero(head)
+        size = np.diff(np.append(begin, len(order)))
+        open_ = (size > 1) & (depth[begin] + 8 <= limit)
+        live = np.flatnonzero(np.repeat(open_, size))
+        if not len(live):
+            return
+        size = size[open_]
+        at = np.concatenate(([0], np.cumsum(size)[:-1]))
+        own = np.repeat(np.arange(len(size)), size)
+        key = words[starts[order[live]] + depth[live]]
+        low, middle, high = key[at], key[at + size // 2], key[at + size - 1]
+        pivot = np.maximum(np.minimum(low, middle), np.minimum(np.maximum(low, middle), high))[own]
+        side = (key >= pivot).view(np.int8) + (key > pivot).view(np.int8)
+        target, base = np.empty(len(live), np.int64), at
+        for k in range(3):
+            mine = side == k
+            count = np.add.reduceat(mine, at, dtype=np.int64)
+            before = np.cumsum(mine) - mine
+            target[mine] = (base[own] + before - before[at][own])[mine]
+            if k == 1:
+                equal = np.repeat(base - at, size) <= np.arange(len(live)) - at[own]
+                equal &= np.arange(len(live)) < (base + count)[own]
+            head[live[base[count > 0]]] = True
+            base = base + count
+        moved = np.empty(len(live), order.dtype)
+        moved[target] = order[live]
+        order[live] = moved
+        depth[live[equal]] += 8
+
+
+def deep_shallow(buf: bytes, starts: np.ndarray, length: int, shallow: int = SHALLOW, groups: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the strings ``buf[s : s + length]``, and whether each equals the one before it.
+
+    ``groups`` tells where among the starts a group begins whose strings are ordered among themselves only.
+    """
     n = len(starts)
     raw = np.frombuffer(buf + bytes(8), np.uint8).astype(np.uint64)
     words = np.zeros(len(buf) + 1, np.uint64)
@@ -145,16 +190,9 @@ def deep_shallow(buf: bytes, starts: np.ndarray, length: int, shallow: int = SHA
         words |= raw[k : k + len(words)] << np.uint64(56 - 8 * k)
     order, head = np.arange(n), np.zeros(n, bool)
     head[:1] = True
-    for depth in range(0, min(shallow, length) - 7, 8):
-        # Partition every group that still has several members by its next key, all groups of a level at once.
-        group = np.cumsum(head) - 1
-        live = np.flatnonzero(np.bincount(group, minlength=n)[group] > 1)
-        if not len(live):
-            break
-        key = words[starts[order[live]] + depth]
-        by = np.lexsort((key, group[live]))
-        order[live], key = order[live[by]], key[by]
-        head[live[1:]] |= key[1:] != key[:-1]
+    if groups is not None:
+        head[groups] = True
+    _partitioned(words, starts, order, head, min(shallow, length))
     same = np.zeros(n, bool)
     heads = np.append(np.flatnonzero(head), n)
     many = np.flatnonzero(np.diff(heads) > 1)
@@ -176,12 +214,16 @@ def deep_shallow(buf: bytes, starts: np.ndarray, length: int, shallow: int = SHA
     return order, same
 
 
-def repeated_windows(pieces: list[bytes], length: int, shallow: int = SHALLOW) -> list[np.ndarray]:
-    """Per piece, whether the window at each of its starts equals another one of the pieces."""
+def repeated_windows(pieces: list[bytes], length: int, shallow: int = SHALLOW, groups: list[int] | None = None) -> list[np.ndarray]:
+    """Per piece, whether the window at each of its starts equals another one of the pieces of its group.
+
+    ``groups`` has the index of each group's first piece.
+    """
     counts = [len(p) - length + 1 for p in pieces]
     bases = np.cumsum([0] + [len(p) for p in pieces])[:-1]
     starts = np.repeat(bases, counts) + np.concatenate([np.arange(c) for c in counts])
-    order, same = deep_shallow(b"".join(pieces), starts, length, shallow)
+    first = None if groups is None else np.concatenate(([0], np.cumsum(counts)))[groups]
+    order, same = deep_shallow(b"".join(pieces), starts, length, shallow, first)
     found = np.zeros(len(starts), bool)
     found[order] = same | np.append(same[1:], False)
     return np.split(found, np.cumsum(counts)[:-1])
@@ -194,18 +236,33 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 
 def chunk_table(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``row, doc_id, digest, n_bytes, grams, chunks, first, last`` of every row; written, so row numbers stay."""
+    """``row, doc_id, digest, n_bytes`` and, per chunk, ``grams, highs, lows, sites`` of every row; written, so row numbers stay.
+
+    ``highs`` and ``lows`` are a 128-bit digest of the chunk's bytes and its gram's place in them, ``sites`` where it
+    is: first window << 16 | further windows << 8 | gram's place after the first window (both at most ``length - gram``).
+    """
 
     def run(batches):
         for b in batches:
-            found = [anchors(t.encode(), length, gram) for t in b.column("text").to_pylist()]
-            offsets = pa.array(np.concatenate(([0], np.cumsum([len(f[0]) for f in found]))), pa.int32())
-            columns = []
-            for k in range(4):
-                flat = np.concatenate([f[k] for f in found]).view(np.int64)
-                columns.append(pa.ListArray.from_arrays(offsets, pa.array(flat)))
-            yield [b.column(n) for n in ("row", "doc_id", "digest", "n_bytes")] + columns
-
+            columns: list[list] = [[], [], [], []]
+            counts = [0]
+            for t in b.column("text").to_pylist():
+                raw = t.encode()
+                grams, places, first, last = anchors(raw, length, gram)
+                digests = b"".join(
+                    hashlib.blake2b(raw[f : z + length], digest_size=16, salt=(p - f).to_bytes(2)).digest()
+                    for p, f, z in zip(places.tolist(), first.tolist(), last.tolist(), strict=True)
+                )
+                both = np.frombuffer(digests, np.int64).reshape(-1, 2)
+                for column, values in zip(columns, (grams.view(np.int64), both[:, 0], both[:, 1], first << 16 | (last - first) << 8 | (places - first)), strict=True):
+                    column.append(values)
+                counts.append(len(grams))
+            offsets = pa.array(np.cumsum(counts), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c))) for c in columns]
+            yield [b.column(n) for n in ("row", "doc_id", "digest", "n_bytes")] + lists
+
+    if length - gram > 255:
+        raise ValueError("a window may be at most 255 bytes longer than its gram")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select(
         F.monotonically_increasing_id().alias("row"),
@@ -214,20 +271,21 @@ def chunk_table(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         F.octet_length("text").cast("long").alias("n_bytes"),
         "text",
     )
-    kinds = "row long, doc_id long, digest string, n_bytes long, grams array<long>, chunks array<long>, first array<int>, last array<int>"
+    kinds = "row long, doc_id long, digest string, n_bytes long, grams array<long>, highs array<long>, lows array<long>, sites array<long>"
     return written(docs.sparkSession, map_arrow(rows, run, kinds), "suffix-chunks")
 
 
-def chunk_spans(rows: DataFrame, pieces: DataFrame, length: int) -> DataFrame:
-    """Repeats within each gram's ``pieces (gram, digest, first, piece)``, by pooled suffix sorts: ``digest, begin, end``."""
+def sorted_spans(pieces: DataFrame, length: int) -> DataFrame:
+    """Repeats within each group of ``pieces (key, digest, first, piece)``, by pooled suffix sorts: ``digest, begin, end``."""
 
     def run(batches):
         pool: list = []
-        gram = None
+        groups: list[int] = []
+        key = None
 
         def result():
             out = {"digest": [], "begin": [], "end": []}
-            for (digest, first, _), flags in zip(pool, repeated_windows([p for *_, p in pool], length), strict=True):
+            for (digest, first, _), flags in zip(pool, repeated_windows([p for *_, p in pool], length, groups=groups), strict=True):
                 for a, b in _runs(flags):
                     out["digest"].append(digest)
                     out["begin"].append(first + a)
@@ -235,57 +293,97 @@ def chunk_spans(rows: DataFrame, pieces: DataFrame, length: int) -> DataFrame:
             return out
 
         for b in batches:
-            for g, digest, first, piece in zip(b["gram"], b["digest"], b["first"], b["piece"], strict=True):
-                if g != gram and len(pool) >= POOL_CHUNKS:
-                    yield result()
-                    pool.clear()
-                gram = g
+            for k, digest, first, piece in zip(b["key"], b["digest"], b["first"], b["piece"], strict=True):
+                if k != key:
+                    if len(pool) >= POOL_CHUNKS:
+                        yield result()
+                        pool.clear()
+                        groups.clear()
+                    groups.append(len(pool))
+                key = k
                 pool.append((digest, first, piece))
         if pool:
             yield result()
 
-    dealt = pieces.select("gram", "digest", "first", "piece").repartition("gram").sortWithinPartitions("gram")
+    dealt = pieces.select("key", "digest", "first", "piece").repartition("key").sortWithinPartitions("key")
     return map_rows(dealt, run, "digest string, begin long, end long")
 
 
-def counted_spans(pieces: DataFrame, length: int) -> DataFrame:
-    """The same for grams with very many kinds of chunk: window digests, counted with a combine before the shuffle."""
+PIECE = "digest string, first long, piece binary, place int, left int, right int"
+
+
+def halves(piece: bytes, first: int, place: int, left: int, right: int, length: int, gram: int) -> list[tuple]:
+    """The two finer groups of a chunk whose windows all hold the gram (at ``place``) with ``left`` and ``right`` bytes beside it.
+
+    Each as ``(key, kind, first, piece, place, left, right)``; the piece is cut to the windows of that group, and a
+    group without any is left out.
+    """
+    slack = length - gram - left - right
+    more_left = (slack + 1) // 2
+    out = []
+    for grown in ((left + more_left, right), (left, right + slack - more_left + 1)):
+        # The gram's place in a window that holds all of the grown context.
+        least, most = grown[0], length - gram - grown[1]
+        a, z = max(0, place - most), min(len(piece) - length, place - least)
+        if a <= z:
+            cut, at = piece[a : z + length], place - a
+            context = cut[at - grown[0] : at + gram + grown[1]]
+            key = hashlib.blake2b(context, digest_size=16, salt=grown[0].to_bytes(2)).digest()
+            kind = hashlib.blake2b(cut, digest_size=16, salt=at.to_bytes(2)).digest()
+            out.append((key, kind, first + a, cut, at, *grown))
+    return out
+
+
+def hot_spans(pieces: DataFrame, length: int, gram: int, hot_kinds: int) -> DataFrame:
+    """The same for groups with very many kinds of chunk, halved until each has at most ``hot_kinds`` or one."""
+    spark = pieces.sparkSession
+    names = ("key", "kind", "first", "piece", "place", "left", "right")
 
     def run(batches):
         for b in batches:
-            out = {"window": [], "digest": [], "begin": []}
-            for digest, first, piece in zip(b["digest"], b["first"], b["piece"], strict=True):
-                for s in range(len(piece) - length + 1):
-                    out["window"].append(hashlib.blake2b(piece[s : s + length], digest_size=16).digest())
+            out = {k: [] for k in (*names, "digest")}
+            for digest, *chunk in zip(*(b[k] for k in ("digest", "piece", "first", "place", "left", "right")), strict=True):
+                for row in halves(*chunk, length, gram):
                     out["digest"].append(digest)
-                    out["begin"].append(first + s)
+                    for k, v in zip(names, row, strict=True):
+                        out[k].append(v)
             yield out
 
-    spark = pieces.sparkSession
-    windows = written(spark, map_rows(pieces.select("digest", "first", "piece"), run, "window binary, digest string, begin long"), "suffix-windows")
-    often = written(spark, windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window"), "suffix-often")
-    return windows.join(often, "window", "left_semi").select("digest", "begin", (F.col("begin") + length).alias("end"))
-
-
-def repeat_spans(docs: DataFrame, chunks: DataFrame, length: int = LENGTH, hot_kinds: int = HOT_KINDS) -> tuple[DataFrame, DataFrame]:
+    found = None
+    while not pieces.isEmpty():
+        parts = written(spark, map_rows(pieces.select("digest", "piece", "first", "place", "left", "right"), run, f"key binary, kind binary, {PIECE}"), "suffix-halves")
+        kinds = written(spark, parts.groupBy("key", "kind").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("digest", "first")).alias("at")), "suffix-half-kinds")
+        # A clip that occurs twice repeats whole, wherever it is.
+        spans = parts.join(kinds.where("n > 1").select("key", "kind"), ["key", "kind"], "left_semi").select(
+            "digest", F.col("first").alias("begin"), (F.col("first") + F.octet_length("piece")).cast("long").alias("end")
+        )
+        many = written(spark, kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "suffix-half-many")
+        one = kinds.join(many, "key").select("key", "kind", F.col("at.digest").alias("digest"), F.col("at.first").alias("first"), "kinds")
+        each = written(spark, parts.join(one, ["key", "kind", "digest", "first"]), "suffix-half-pieces")
+        spans = spans.union(sorted_spans(each.where(F.col("kinds") <= hot_kinds), length))
+        found = spans if found is None else found.union(spans)
+        pieces = each.where(F.col("kinds") > hot_kinds)
+    return found
+
+
+def repeat_spans(docs: DataFrame, chunks: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_kinds: int = HOT_KINDS) -> tuple[DataFrame, DataFrame]:
     """Spans ``digest, begin, end`` (they may overlap) of distinct texts, and the texts ``digest, text`` that have any candidates."""
     spark = docs.sparkSession
     shared = chunks.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
     shared = written(spark, shared, "suffix-grams")
-    each = chunks.select("row", F.explode(F.arrays_zip("grams", "chunks", "first", "last")).alias("z")).select(
-        F.col("z.grams").alias("gram"), F.col("z.chunks").alias("chunk"), "row", F.col("z.first").alias("first"), F.col("z.last").alias("last")
+    each = chunks.select("row", F.explode(F.arrays_zip("grams", "highs", "lows", "sites")).alias("z")).select(
+        F.col("z.grams").alias("gram"), F.col("z.highs").alias("high"), F.col("z.lows").alias("low"), "row", F.col("z.sites").alias("site")
     )
     each = written(spark, each.join(shared, "gram", "left_semi"), "suffix-shared")
-    kinds = each.groupBy("gram", "chunk").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "last")).alias("at"))
+    kinds = each.groupBy("gram", "high", "low").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "site")).alias("at"))
     kinds = written(spark, kinds, "suffix-kinds")
+    first, windows, place = F.shiftright("site", 16), F.shiftright("site", 8).bitwiseAND(F.lit(255)), F.col("site").bitwiseAND(F.lit(255))
 
     # One row stands for all copies of a text.
     own = chunks.groupBy("digest").agg(F.min("row").alias("row"))
     placed = each.join(own, "row")
-    often = kinds.where("n > 1").select("gram", "chunk")
-    whole = placed.join(often, ["gram", "chunk"], "left_semi").select(
-        "digest", F.col("first").cast("long").alias("begin"), (F.col("last") + length).cast("long").alias("end")
-    )
+    often = kinds.where("n > 1").select("gram", "high", "low")
+    whole = placed.join(often, ["gram", "high", "low"], "left_semi").select("digest", first.alias("begin"), (first + windows + length).alias("end"))
 
     needed = placed.select("digest").distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -295,27 +393,24 @@ def repeat_spans(docs: DataFrame, chunks: DataFrame, length: int = LENGTH, hot_k
     many = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     # Any row of a text will do, but only some hold the text's number here: go from row to digest.
     sites = kinds.select("gram", "at.*").join(written(spark, many, "suffix-many"), "gram").join(chunks.select("row", "digest"), "row")
-    cuts = sites.groupBy("digest").agg(F.collect_list(F.struct("gram", "first", "last", "kinds")).alias("cuts"))
+    cut = F.struct("gram", first.alias("first"), windows.alias("windows"), place.cast("int").alias("place"), "kinds")
+    cuts = sites.groupBy("digest").agg(F.collect_list(cut).alias("cuts"))
 
     def run(batches):
         for b in batches:
-            out = {"gram": [], "digest": [], "first": [], "piece": [], "kinds": []}
+            out = {"key": [], "digest": [], "first": [], "piece": [], "place": [], "left": [], "right": [], "kinds": []}
             for digest, t, found in zip(b["digest"], b["text"], b["cuts"], strict=True):
                 raw = t.encode()
                 for c in found:
-                    for k, v in (("gram", c["gram"]), ("digest", digest), ("first", c["first"]), ("kinds", c["kinds"])):
+                    for k, v in (("key", c["gram"]), ("digest", digest), ("first", c["first"]), ("place", c["place"]), ("left", 0), ("right", 0), ("kinds", c["kinds"])):
                         out[k].append(v)
-                    out["piece"].append(raw[c["first"] : c["last"] + length])
+                    out["piece"].append(raw[c["first"] : c["first"] + c["windows"] + length])
             yield out
 
-    pieces = written(
-        spark, map_rows(texts.join(cuts, "digest"), run, "gram long, digest string, first long, piece binary, kinds long"), "suffix-pieces"
-    )
-    spans = whole.union(chunk_spans(each, pieces.where(F.col("kinds") <= hot_kinds), length))
-    hot = pieces.where(F.col("kinds") > hot_kinds)
-    if not hot.isEmpty():
-        spans = spans.union(counted_spans(hot, length))
-    return written(spark, spans, "suffix-spans"), texts
+    pieces = written(spark, map_rows(texts.join(cuts, "digest"), run, f"key long, {PIECE}, kinds long"), "suffix-pieces")
+    spans = whole.union(sorted_spans(pieces.where(F.col("kinds") <= hot_kinds), length))
+    finer = hot_spans(pieces.where(F.col("kinds") > hot_kinds), length, gram, hot_kinds)
+    return written(spark, spans if finer is None else spans.union(finer), "suffix-spans"), texts
 
 
 def removals(spans: DataFrame, texts: DataFrame) -> DataFrame:
@@ -345,7 +440,7 @@ def removals(spans: DataFrame, texts: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_kinds: int = HOT_KINDS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row of ``docs (doc_id, text)``."""
     chunks = chunk_table(docs, length, gram)
-    done = removals(*repeat_spans(docs, chunks, length, hot_kinds)).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    done = removals(*repeat_spans(docs, chunks, length, gram, hot_kinds)).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
     return chunks.select("doc_id", "n_bytes", "digest").join(done, "digest", "left").select(
         "doc_id",
         "n_bytes",
@@ -357,13 +452,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """All rows and columns of ``docs`` with repeats cut out of ``text``; a character cut in part goes whole."""
-    kept = removals(*repeat_spans(docs, chunk_table(docs, length, gram), length))
+    kept = removals(*repeat_spans(docs, chunk_table(docs, length, gram), length, gram))
 
     def run(batches):
         for b in batches:
-            yield {"_digest": b["digest"], "_kept": [k.decode(errors="ignore") for k in b["kept"]]}
+            yield {"digest": b["digest"], "kept": [k.decode(errors="ignore") for k in b["kept"]]}
 
-    cleaned = map_rows(kept.select("digest", "kept"), run, "_digest string, _kept string")
+    cleaned = map_rows(kept.select("digest", "kept"), run, "digest string, kept string")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    joined = docs.withColumn("_digest", F.sha2(text.cast("binary"), 256)).join(cleaned, "_digest", "left")
-    return joined.withColumn("text", F.coalesce("_kept", "text")).select(*docs.columns)
+    joined = packed(docs, F.sha2(text.cast("binary"), 256).alias("digest")).join(cleaned, "digest", "left")
+    return joined.select(F.col("own").withField("text", F.coalesce("kept", F.col("own.text"))).alias("own")).select("own.*")

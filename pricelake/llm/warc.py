@@ -28,12 +28,13 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import map_rows
+from pricelake.llm.common import map_rows, written
 
 MIN_DEDUP_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
 MAX_GAP = 64 << 10
 MAX_RANGE = 8 << 20
+READ_BYTES = 16 << 20  # archive bytes that a task reads, about
 # The record date (a run's own time would make archives differ from run to run) and the revisit profile.
 RECORD_DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -103,8 +104,9 @@ def parse_record(raw: bytes) -> dict:
 def tagged(pages: DataFrame, min_bytes: int = MIN_DEDUP_BYTES) -> DataFrame:
     """Pages with digest, record type and the response that a revisit names.
 
-    Only digests and ids are aggregated (combined before the shuffle); the
-    join back is an ordinary one that AQE splits where one payload is hot.
+    Only digests and ids are aggregated (combined before the shuffle). The
+    result is written and read back, so that the join stands on a shuffle of its own
+    on both sides: AQE can then split the payload side where one payload is hot.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(
@@ -117,6 +119,7 @@ def tagged(pages: DataFrame, min_bytes: int = MIN_DEDUP_BYTES) -> DataFrame:
         .where("copies > 1")
     )
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+    first = written(pages.sparkSession, first.select("digest", "first_id"), "warc-first")
     return rows.join(first, "digest", "left").select(
         "page_id",
         "url",
@@ -176,7 +179,11 @@ def byte_ranges(selected: DataFrame, max_gap: int = MAX_GAP, max_range: int = MA
 
 
 def read_records(selected: DataFrame, root: str, max_gap: int = MAX_GAP, max_range: int = MAX_RANGE) -> DataFrame:
-    """The records of the selected index rows: ``page_id, url, record_type, refers_to, digest, payload`` (null for revisits)."""
+    """The records of the selected index rows: ``page_id, url, record_type, refers_to, digest, payload`` (null for revisits).
+
+    Reads are dealt to as many tasks as their bytes need: the rows that describe them are so few that Spark would
+    leave them all to one.
+    """
 
     def run(batches):
         files, base = filesystem(root)
@@ -190,4 +197,6 @@ def read_records(selected: DataFrame, root: str, max_gap: int = MAX_GAP, max_ran
                 ]
                 yield {k: [r[k] for r in found] for k in found[0]}
 
-    return map_rows(byte_ranges(selected, max_gap, max_range), run, RECORD_SCHEMA)
+    size = selected.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+    ranges = byte_ranges(selected, max_gap, max_range).repartition(max(1, -(-size // READ_BYTES)), "archive", F.get("offsets", 0))
+    return map_rows(ranges, run, RECORD_SCHEMA)

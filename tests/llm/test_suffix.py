@@ -81,3 +81,64 @@ def test_edge_rows_and_pipeline_form(spark):
     left = {(r.doc_id, r.text) for r in cut.collect()}
     assert (5, "") in left and (1, None) in left and (4, "one") in left
     assert suffix.remove_repeats(no_docs(spark)).count() == 0 == suffix.without_repeats(no_docs(spark)).count()
+
+
+def test_partition_by_pivots_orders_groups_apart():
+    rnd = random.Random(7)
+    for _ in range(100):
+        buf = bytes(rnd.choice(b"ab") for _ in range(400))
+        starts = np.array(sorted(rnd.sample(range(340), 90)))
+        cuts = [0, *sorted(rnd.sample(range(1, 90), 6)), 90]
+        order, same = suffix.deep_shallow(buf, starts, 60, 40, np.array(cuts[:-1]))
+        for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+            assert sorted(order[a:z]) == list(range(a, z)) and not same[a]
+            got = [buf[s : s + 60] for s in starts[order[a:z]].tolist()]
+            assert got == sorted(got) and same[a + 1 : z].tolist() == [x == y for x, y in zip(got, got[1:])]
+
+
+def test_halves_hold_every_window_once():
+    rnd = random.Random(8)
+    for _ in range(200):
+        gram = rnd.choice([3, 5])
+        length = gram + rnd.randint(1, 20)
+        raw = bytes(rnd.choice(b"ab") for _ in range(80))
+        for _, place, first, last in zip(*(x.tolist() for x in suffix.anchors(raw, length, gram)), strict=True):
+            todo, whole = [(raw[first : last + length], first, place - first, 0, 0)], []
+            while todo:
+                piece, at, inside, left, right = chunk = todo.pop()
+                if left + right + gram == length:
+                    assert piece == raw[at : at + length]
+                    whole.append(at)
+                else:
+                    todo += [(r[3], r[2], *r[4:]) for r in suffix.halves(*chunk, length, gram)]
+            assert sorted(whole) == list(range(first, last + 1))
+
+
+def test_thousands_of_kinds_of_one_gram(spark):
+    """A line that many texts share, with other text around it: its grams have as many kinds of chunk as there are texts."""
+    rnd = random.Random(9)
+    line = "".join(rnd.choice("abcdefgh ") for _ in range(45))
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(1, 40)))
+    texts = [f"{word()}{line}{word()}" for _ in range(1500)]
+    texts += [f"{line[:30]}{word()}" for _ in range(200)] + [f"{t}!" for t in texts[:40]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    for length, gram, hot in ((30, 8, 2), (60, 8, 20)):
+        want = [(i, *r) for i, r in enumerate(brute(texts, length))]
+        assert rows_of(suffix.remove_repeats(df, length, gram, hot)) == sorted(want, key=repr)
+
+
+def test_equal_hashes_alone_remove_nothing(spark, monkeypatch):
+    """With grams that all hash alike, only equal bytes go."""
+    monkeypatch.setattr(suffix, "_BASE", 1)  # a gram's hash is then the sum of its bytes
+    suffix._powers.cache_clear()
+    first, second = "abcdefghij" * 3, "jihgfedcba" * 3
+    texts = [f"{first}{'x' * 7}", second + "y" * 9, "bacdefghij" * 3 + "zz", first + "w"]
+    rows = [suffix.anchors(t.encode(), 12, 10)[0].tolist() for t in texts]
+    assert set(rows[0]) & set(rows[1])
+    suffix._powers.cache_clear()
+    monkeypatch.undo()
+    suffix._powers.cache_clear()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [(i, *r) for i, r in enumerate(brute(texts, 12))]
+    for hot in (1, 100):
+        assert rows_of(suffix.remove_repeats(df, 12, 10, hot)) == sorted(want, key=repr)

@@ -47,3 +47,29 @@ def test_selected_records_are_read_in_few_ranges(spark, tmp_dir):
 def test_no_pages(spark, tmp_dir):
     index = warc.write_archives(spark.createDataFrame([], PAGES), f"{tmp_dir}/w")
     assert index.count() == 0 and warc.read_records(index, f"{tmp_dir}/w").count() == 0
+
+
+def test_a_hot_payload_is_split_and_archives_are_read_by_many_tasks(spark, tmp_dir, monkeypatch):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        html = F.when(F.col("id") % 10 < 9, F.lit(BIG)).otherwise(F.concat(F.lit(BIG), F.col("id").cast("string")))
+        pages = spark.range(6000).repartition(6).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+        joined = warc.tagged(pages)
+        assert sum(r.record_type == "response" for r in joined.collect()) == 601
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    monkeypatch.setattr(warc, "READ_BYTES", 2000)
+    warc.write_archives(pages.limit(300), f"{tmp_dir}/w").write.parquet(f"{tmp_dir}/i")
+    index = spark.read.parquet(f"{tmp_dir}/i")
+    read = warc.read_records(index, f"{tmp_dir}/w", max_range=1000)
+    assert read.rdd.getNumPartitions() > 3 and read.count() == 300
