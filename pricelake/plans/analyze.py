@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pricelake.operators import arbitrage, feeds, msp, regions, shocks, summaries, trends
 from pricelake.schema import Config
 from pricelake.sources.geo import region_names
+from pricelake.plans.sqlfunctions import register_functions
 from pricelake.sources.parquet import read_anchor, read_processed, register_view
 from pricelake.sources.results import read_result_csv, write_result_csv
 
@@ -106,6 +107,10 @@ def run_region_map(spark: SparkSession, results_path: str, geojson_path: str) ->
 
 
 def run_sql(spark: SparkSession, processed_path: str, query: str, out: str) -> None:
-    """One SQL query over the processed table, registered as the view ``price_records``; the result as CSV."""
+    """One SQL query over the processed table, registered as the view ``price_records``; the result as CSV.
+
+    The functions of :mod:`pricelake.plans.sqlfunctions` are there too.
+    """
     register_view(read_processed(spark, processed_path))
+    register_functions(spark)
     write_result_csv(spark.sql(query), out)

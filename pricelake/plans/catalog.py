@@ -19,14 +19,15 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.operators import arbitrage, clean, feeds, ingest, msp, regions, shocks, summaries, trends
+from pricelake.operators import arbitrage, clean, feeds, ingest, lookup, msp, regions, rollups, shocks, summaries, trends
 from pricelake.constants import LEGACY_PRICE_INDEX_COLUMN
+from pricelake.plans import sqlfunctions
 from pricelake.plans.landing import land_pages
 from pricelake.schema import RAW_FIELDS, Config
 from pricelake.session import application_scratch, scratch_path, written
 from pricelake.sources import csv as csv_src
 from pricelake.sources import fixtures as fx
-from pricelake.sources import geo, inventory, results
+from pricelake.sources import geo, headers, inventory, results
 from pricelake.sources import pages as pages_src
 from pricelake.sources import parquet as pq
 from pricelake.streaming import landing
@@ -241,14 +242,19 @@ def q_volatility_feed(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- sources, sinks, landing
 
+def _pages(spark, sf_dir):
+    """Pages made from the raw records, written once, with broken ones beside them."""
+    return fx.broken_pages(written(spark, fx.pages_from_records(fx.raw_with_key(spark, sf_dir)), "pages"))
+
+
 def q_flatten_pages(spark, sf_dir):
-    pages = written(spark, fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir))), "pages")
+    pages = _pages(spark, sf_dir)
     return pages_src.flatten_pages(pages)
 
 
 def q_page_quarantine(spark, sf_dir):
     """Pages and records that parse, and pages that do not."""
-    pages = written(spark, fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir))), "pages")
+    pages = _pages(spark, sf_dir)
     good, bad = pages_src.split_pages(pages)
     has_bad = bad.agg(F.count(F.lit(1)) > 0).scalar()
     counts = good.agg(F.count(F.lit(1)).alias("good_pages"), F.coalesce(F.sum(F.size("records")), F.lit(0)).alias("records"))
@@ -258,7 +264,7 @@ def q_page_quarantine(spark, sf_dir):
 def q_land_pages(spark, sf_dir):
     """Pages landed by state, one state first, then the others, then nothing left; read back as raw rows."""
     path = scratch_path(spark, "landed")
-    pages = fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir)))
+    pages = _pages(spark, sf_dir)
     pages.write.text(f"{path}/pages")
     for only in (fx.ONE_STATE, None, None):
         land_pages(spark, f"{path}/pages", f"{path}/landing", f"{path}/manifest", f"{path}/bad", only=only, one_per_line=True)
@@ -266,11 +272,92 @@ def q_land_pages(spark, sf_dir):
 
 
 def q_landing_inventory(spark, sf_dir):
-    """Every landed partition, compared with a second listing of the same folder."""
-    path = scratch_path(spark, "listed")
-    csv_src.land_raw_csv(_raw(spark, sf_dir), path, key=fx.landing_key())
-    listed = inventory.landing_inventory(spark, path)
-    return inventory.compare_inventories(listed, inventory.landing_inventory(spark, path)).select("partition", "matches")
+    """Every landed partition, compared by content with a second landing that lacks, adds and changes some."""
+    path, other = scratch_path(spark, "listed"), scratch_path(spark, "listed-again")
+    keyed = written(spark, fx.raw_with_key(spark, sf_dir), "keyed")
+    csv_src.land_raw_csv(keyed, path, key=fx.landing_key())
+    csv_src.land_raw_csv(fx.second_landing(keyed).repartition(3), other, key=fx.landing_key())
+    found = inventory.compare_contents(inventory.content_inventory(spark, path), inventory.content_inventory(spark, other))
+    return found.select("partition", "lines_before", "lines_after", "status", "matches")
+
+
+def _headed(keyed: DataFrame, path: str, order: list[str], **renamed: str) -> None:
+    """Raw records as CSV files with their columns in ``order``, some under another name."""
+    columns = [F.col(c).alias(renamed.get(c, c)) for c in order]
+    keyed.select(*columns).write.options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+
+
+def q_read_mixed_headers(spark, sf_dir):
+    """A landing whose files name their columns in three orders, and some files with an unknown header; every line once."""
+    keyed, path = written(spark, fx.raw_with_key(spark, sf_dir), "keyed"), scratch_path(spark, "mixed")
+    part = lambda i: keyed.where(F.col("k") % 4 == i)
+    _land_with_broken_lines(spark, part(0), f"{path}/usual")
+    _headed(part(1), f"{path}/reversed", RAW_FIELDS[::-1])
+    _headed(part(2).withColumn("note", F.lit("a, b")), f"{path}/sorted", sorted([*RAW_FIELDS, "note"]))
+    _headed(part(3), f"{path}/unknown", RAW_FIELDS, commodity="crop")
+    return headers.bind_by_name(spark, path).select(*RAW_FIELDS, "reason")
+
+
+def q_commodity_lookup(spark, sf_dir):
+    """One commodity's rows from a table clustered by commodity, with bloom filters on commodity and market."""
+    path = scratch_path(spark, "clustered")
+    pq.write_processed(_clean(spark, sf_dir), path, cluster_by=("commodity", "market", "arrival_date"), bloom=("commodity", "market"), page_rows=4096)
+    return lookup.commodity_lookup(pq.read_processed(spark, path), fx.ONE_COMMODITY)
+
+
+_rolled: dict[str, tuple[str, str]] = {}
+
+
+def _rollup(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A table written in four batches and its states, refreshed after each; made once per application and source."""
+    mark = f"{application_scratch(spark)}/rolled-{_fingerprint(spark, sf_dir)}"
+    if mark not in _rolled:
+        keyed = written(spark, fx.raw_with_key(spark, sf_dir), "keyed")
+        table, states = f"{mark}/table", f"{mark}/states"
+        for i in range(4):
+            part = clean.clean_records(keyed.where(F.col("k") % 4 == i).select(*RAW_FIELDS), CFG)
+            pq.write_processed(part, table, mode="append" if i else "overwrite")
+            rollups.refresh(spark, table, states)
+        _rolled[mark] = (table, states)
+    return _rolled[mark]
+
+
+def q_rollup_states_summary(spark, sf_dir):
+    return rollups.merged_state_summary(spark, *_rollup(spark, sf_dir))
+
+
+def q_rollup_profile(spark, sf_dir):
+    return rollups.merged_profile(spark, *_rollup(spark, sf_dir))
+
+
+def q_rollup_top_commodities(spark, sf_dir):
+    return summaries.top_commodities(rollups.merged_commodity_stats(spark, *_rollup(spark, sf_dir)), CFG)
+
+
+def q_rollup_volatility(spark, sf_dir):
+    return summaries.price_volatility(rollups.merged_commodity_stats(spark, *_rollup(spark, sf_dir)), CFG)
+
+
+def _sql_functions(spark, sf_dir, query):
+    pq.register_view(_processed(spark, sf_dir))
+    sqlfunctions.register_functions(spark)
+    return spark.sql(query)
+
+
+def q_sql_top_commodities(spark, sf_dir):
+    return _sql_functions(spark, sf_dir, f"SELECT * FROM top_commodities({CFG.top_commodities_k})")
+
+
+def q_sql_monthly_trend(spark, sf_dir):
+    return _sql_functions(spark, sf_dir, f"SELECT * FROM monthly_trend({CFG.trailing_months})")
+
+
+def q_sql_trailing_prices(spark, sf_dir):
+    return _sql_functions(spark, sf_dir, f"SELECT * FROM trailing_prices({CFG.trailing_months})")
+
+
+def q_sql_arbitrage(spark, sf_dir):
+    return _sql_functions(spark, sf_dir, f"SELECT * FROM arbitrage({CFG.arbitrage_k})")
 
 
 def q_sql_view(spark, sf_dir):
@@ -384,6 +471,16 @@ QUERIES: dict[str, Query] = {
     "page_quarantine": q_page_quarantine,
     "land_pages": q_land_pages,
     "landing_inventory": q_landing_inventory,
+    "read_mixed_headers": q_read_mixed_headers,
+    "commodity_lookup": q_commodity_lookup,
+    "rollup_states_summary": q_rollup_states_summary,
+    "rollup_profile": q_rollup_profile,
+    "rollup_top_commodities": q_rollup_top_commodities,
+    "rollup_volatility": q_rollup_volatility,
+    "sql_top_commodities": q_sql_top_commodities,
+    "sql_monthly_trend": q_sql_monthly_trend,
+    "sql_trailing_prices": q_sql_trailing_prices,
+    "sql_arbitrage": q_sql_arbitrage,
     "sql_view": q_sql_view,
     "pending_partitions": q_pending_partitions,
     "read_raw_csv": q_read_raw_csv,

@@ -9,7 +9,7 @@ Rounding goes through ``DECIMAL(38,10)`` exactly as the Spark side does.
 
 from __future__ import annotations
 
-from pricelake.sources.fixtures import FIXTURE_MAX_YEAR, FIXTURE_MIN_YEAR, FIXTURE_MSP, FIXTURE_REGION_MAP
+from pricelake.sources.fixtures import FIXTURE_MAX_YEAR, FIXTURE_MIN_YEAR, FIXTURE_MSP, FIXTURE_REGION_MAP, ONE_COMMODITY
 
 
 def IC(x: str) -> str:
@@ -253,7 +253,7 @@ GROUP BY s.state, c.commodity""",
         f"SELECT state, price_index_sum, {_money('price_index_sum')} AS price_label FROM top_states",
     )
     q["result_roundtrip"] = q["all_states_summary"]
-    q["region_names"] = "SELECT DISTINCT n_name AS name FROM nation WHERE n_nationkey <> 5"
+    q["region_names"] = "SELECT DISTINCT c_name AS name FROM customer WHERE c_custkey % 25 <> 5"
     q["inefficiency_feed"] = f"SELECT state, market, avg_modal_price, avg_spread_pct, avg_price_spread, record_count FROM ({q['market_inefficiency']})"
     q["price_trend_feed"] = f"SELECT year_month, avg_modal_price FROM ({q['monthly_price_trend']}) ORDER BY year_month"
     q["top_commodities_feed"] = f"SELECT * FROM ({q['top_commodities']}) ORDER BY record_count, commodity"
@@ -287,10 +287,26 @@ FROM raw_k""",
     landed = ", ".join(f"CAST(nullif({c}, '') AS {'DOUBLE' if c.endswith('_price') else 'VARCHAR'}) AS {c}" for c in RAW_COLS.split(", "))
     q["land_pages"] = f"SELECT {landed} FROM ({q['flatten_pages']})"
     q["landing_inventory"] = _with(
-        [RAW_K, RAW_RECORDS],
-        """SELECT DISTINCT 'src_state=' || coalesce(nullif(upper(trim(state)), ''), '__HIVE_DEFAULT_PARTITION__') AS partition, true AS matches
-FROM raw_records""",
+        [RAW_K],
+        """SELECT 'src_state=' || coalesce(s, '__HIVE_DEFAULT_PARTITION__') AS partition,
+  CASE WHEN s = 'NATION_X' THEN CAST(NULL AS BIGINT) ELSE n END AS lines_before,
+  CASE WHEN s = 'NATION_1' THEN CAST(NULL AS BIGINT) WHEN s = 'NATION_2' THEN n + thirds ELSE n END AS lines_after,
+  CASE s WHEN 'NATION_1' THEN 'missing' WHEN 'NATION_2' THEN 'grown' WHEN 'NATION_3' THEN 'changed' WHEN 'NATION_X' THEN 'extra' ELSE 'equal' END AS status,
+  coalesce(s, '') NOT IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_X') AS matches
+FROM (SELECT s, count(*) AS n, count(*) FILTER (k % 3 = 0) AS thirds FROM (
+    SELECT k, nullif(upper(trim(state)), '') AS s FROM raw_k UNION ALL SELECT k, 'NATION_X' FROM raw_k WHERE upper(trim(state)) = 'NATION_4') GROUP BY s)""",
     )
+    unbound = "CASE WHEN k%4=3 THEN 'unknown_header' WHEN k%4=0 AND (k%61=0 OR k%67=0 OR k%71=0) THEN 'malformed_line' END"
+    bound = ", ".join(f"CASE WHEN ({unbound}) IS NULL THEN {c} END AS {c}" for c in RAW_COLS.split(", "))
+    q["read_mixed_headers"] = _with([RAW_K], f"SELECT {bound}, {unbound} AS reason FROM raw_k")
+    q["commodity_lookup"] = _with(BASE, f"SELECT * FROM clean_records WHERE commodity = {IC(repr(ONE_COMMODITY))}")
+    q["rollup_states_summary"] = q["all_states_summary"]
+    q["rollup_profile"] = q["dataset_profile"]
+    q["rollup_top_commodities"] = q["sql_top_commodities"] = q["top_commodities"]
+    q["rollup_volatility"] = q["price_volatility"]
+    q["sql_monthly_trend"] = q["monthly_price_trend"]
+    q["sql_trailing_prices"] = q["trailing_window"]
+    q["sql_arbitrage"] = q["arbitrage_signal"]
     q["sql_view"] = _with(
         BASE, "SELECT state, year, COUNT(*) AS record_count, MAX(modal_price) AS top_price FROM clean_records GROUP BY state, year"
     )

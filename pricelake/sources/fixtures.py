@@ -108,6 +108,8 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # A state that the page-landing query lands by itself first.
 ONE_STATE = "NATION_7"
+# A commodity that is looked up, as a user might type it.
+ONE_COMMODITY = " red widget"
 
 # Test dimension tables (small, fixed): region-name map and reference prices.
 FIXTURE_REGION_MAP = (
@@ -169,19 +171,30 @@ def broken_pages(pages: DataFrame) -> DataFrame:
 
 
 def region_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-delimited GeoJSON features of :func:`regions`' names (column ``value``).
+    """Line-delimited GeoJSON features, one per customer, named by it (column ``value``).
 
-    The first nation's feature has an ``id`` and another name property only,
-    two more have a blank usual name beside another one, one has no name at all.
+    Of every 25, one has an ``id`` and another name property only, two more
+    have a blank usual name beside another one, and one has no name at all.
     """
-    n = table(spark, sf_dir, "nation")
-    name, key = F.col("n_name"), F.col("n_nationkey")
+    n = table(spark, sf_dir, "customer")
+    name, key = F.col("c_name"), F.col("c_custkey") % 25
     usual = F.when(key == 0, None).when(key.isin(3, 4), F.lit("  ")).when(key == 5, None).otherwise(F.concat(F.lit(" "), name))
     other = F.when(key == 5, None).when(key.isin(0, 3, 4), name)
-    properties = F.struct(key.cast("string").alias("id"), F.lit("Land").alias("NAME_0"), usual.alias("NAME_1"), other.alias("st_name_x"))
+    properties = F.struct(F.col("c_custkey").cast("string").alias("id"), F.lit("Land").alias("NAME_0"), usual.alias("NAME_1"), other.alias("st_name_x"))
     return n.select(F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"))).alias("value"))
 
 
+def second_landing(raw_k: DataFrame) -> DataFrame:
+    """Keyed raw records as a second landing might hold them: one state missing, one with lines twice, one with other
+    grades in lines of the same length, and one more state."""
+    state = F.upper(F.trim("state"))
+    kept = raw_k.where(~state.eqNullSafe(F.lit("NATION_1")))
+    twice = kept.where((state == "NATION_2") & _k(3))
+    more = kept.where(state == "NATION_4").withColumn("state", F.lit("NATION_X"))
+    changed = F.when(state == "NATION_3", F.translate("grade", "ANR", "NRA")).otherwise(F.col("grade"))
+    return kept.unionByName(twice).unionByName(more).withColumn("grade", changed)
+
+
 def malformed_lines(raw_k: DataFrame) -> DataFrame:
     """Raw records as headerless CSV text lines, some deliberately broken.
 

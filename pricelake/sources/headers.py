@@ -40,9 +40,9 @@ def file_headers(lines: DataFrame) -> DataFrame:
     # Combined before the shuffle: a row per file and task.
     headers = first.groupBy("path").agg(F.min_by("value", "_n").alias("header"))
     names = headers.withColumn("_names", _names(F.col("header")))
-    good = F.lit(True)
-    for f in RAW_FIELDS:
-        good &= F.size(F.filter("_names", lambda n, f=f: n == f)) == 1
+    # As many known names as fields, each of them once.
+    known = F.filter("_names", lambda n: n.isin(*RAW_FIELDS))
+    good = (F.size(known) == len(RAW_FIELDS)) & (F.size(F.array_distinct(known)) == len(RAW_FIELDS))
     places = F.array(*(F.array_position("_names", f).cast("int") - 1 for f in RAW_FIELDS))
     return names.select("path", "header", F.size("_names").alias("width"), F.when(good, places).alias("places"))
 

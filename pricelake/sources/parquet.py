@@ -38,6 +38,10 @@ def write_processed(
     dynamic_overwrite: bool = False,
     max_records_per_file: int | None = None,
     batch: str | None = None,
+    cluster_by: tuple[str, ...] = SORT_COLUMNS,
+    bloom: tuple[str, ...] = (),
+    bloom_values: int = 1 << 16,
+    page_rows: int | None = None,
 ) -> None:
     """Parquet, Hive-style ``year=/state=/ingest_batch=`` directories, snappy.
 
@@ -52,6 +56,10 @@ def write_processed(
     With ``batch`` (append) or ``dynamic_overwrite`` the partitions of that batch (default ``base``) which ``df`` holds are
     replaced and everything else stays.
 
+    ``cluster_by`` orders rows by other columns, for tables that are looked up by those. ``bloom`` names columns that get
+    a Parquet bloom filter per row group (sized for ``bloom_values`` distinct ones), which skips row groups on an
+    equality where ranges overlap. ``page_rows`` bounds a Parquet page, the least that a look-up reads of a column.
+
     The latest arrival date is observed by the write itself and kept beside
     the data (:func:`read_anchor`).
     """
@@ -64,7 +72,7 @@ def write_processed(
     laid_out = (
         df.select(*CLEAN_COLUMNS)
         .hint("rebalance", *PARTITION_COLUMNS)
-        .sortWithinPartitions(*PARTITION_COLUMNS, *SORT_COLUMNS)
+        .sortWithinPartitions(*PARTITION_COLUMNS, *cluster_by)
         .withColumn(BATCH_COLUMN, F.lit(batch))
         .observe(seen, F.max("arrival_date").alias("latest"))  # on top: below, AQE drops it when no row comes up
     )
@@ -74,6 +82,10 @@ def write_processed(
     w = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    for column in bloom:
+        w = w.option(f"parquet.bloom.filter.enabled#{column}", "true").option(f"parquet.bloom.filter.expected.ndv#{column}", str(bloom_values))
+    if page_rows:
+        w = w.option("parquet.page.row.count.limit", str(page_rows))
     w.partitionBy(*PARTITION_COLUMNS, BATCH_COLUMN).option("compression", "snappy").parquet(path)
     if whole or fresh:
         _log(spark, path, batch, latest=seen.get["latest"])
@@ -90,6 +102,17 @@ def _log(spark: SparkSession, path: str, batch: str, pending: bool = False, late
     row.coalesce(1).write.mode("append").parquet(_log_path(path))
 
 
+def batch_log(spark: SparkSession, path: str) -> DataFrame:
+    """``batch, at``: every finished write of the table and when it was last made (a number that grows).
+
+    ``WHOLE_TABLE`` stands for what was there before the table had a log.
+    """
+    read_anchor(spark, path)  # finishes what others left open
+    entries = spark.read.schema(_LOG_SCHEMA).parquet(_log_path(path))
+    last = entries.groupBy("batch").agg(F.max("at").alias("at"), F.max_by("pending", "at").alias("pending"))
+    return last.where("not pending").select("batch", "at")
+
+
 def read_anchor(spark: SparkSession, path: str) -> dt.date | None:
     """Latest arrival date of the processed table at ``path``; ``None`` when it has no rows or does not exist.
 
