@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; the driver,
 or ``run``, writes it as Parquet and reads it back as the next one's ``docs``.
-All but the last return the columns of ``documents``.
+All but the last return the columns of ``documents``. When a stage begins, the scratch
+tables of the one before are dropped, so ``docs`` must be a table that is written.
 
 - toxicity: documents that the model predicts toxic go.
 - minhash: one document of each near-duplicate component stays.
@@ -18,6 +19,23 @@ from pyspark.sql import functions as F
 
 from pricelake.llm import decontam, minhash, mixing, suffix, toxicity
 from pricelake.llm.common import keep_where, table, written
+from pricelake.session import drop_paths, scratch_scope
+
+_held: list[str] = []  # tables that the last stage's result reads
+
+
+def _staged(stage):
+    """``stage`` with its scratch tables dropped when the next stage begins: its result is a table by then."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_paths(spark, _held)
+        with scratch_scope(spark, drop=False) as paths:
+            out = stage(spark, docs, sf_dir)
+        _held.extend(paths)
+        return out
+
+    run.__name__, run.__doc__ = stage.__name__, stage.__doc__
+    return run
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,11 +61,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
-    ("toxicity", toxicity_stage),
-    ("minhash", minhash_stage),
-    ("suffix", suffix_stage),
-    ("decontamination", decontamination_stage),
-    ("mixing", mixing_stage),
+    ("toxicity", _staged(toxicity_stage)),
+    ("minhash", _staged(minhash_stage)),
+    ("suffix", _staged(suffix_stage)),
+    ("decontamination", _staged(decontamination_stage)),
+    ("mixing", _staged(mixing_stage)),
 ]
 
 # A trained model, suffix sorts and a schedule are beyond SQL; tests hold each stage against brute force.

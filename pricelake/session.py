@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,17 +89,47 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{application_scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+def written(spark: SparkSession, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` under the session's shared checkpoint folder and read it back.
 
     Cuts the lineage at a table every executor can reach, so a lost executor
-    costs a re-read and not a recomputation.
+    costs a re-read and not a recomputation. The table belongs to the innermost
+    :func:`scratch_scope`, with ``keep`` to the one around it.
     """
     path = scratch_path(spark, name)
+    owners = _scopes[:-1] if keep else _scopes
+    if owners:
+        owners[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession, drop: bool = True) -> Iterator[list[str]]:
+    """The paths that :func:`written` makes inside; with ``drop`` they are deleted at the end.
+
+    What leaves such a scope must not read its tables any more: it is itself written with ``keep``.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes.pop()
+    if drop:
+        drop_paths(spark, paths)
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    paths.clear()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
