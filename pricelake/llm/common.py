@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from pricelake.operators.places import placed
-from pricelake.session import written
+from pricelake.session import drop_paths, scratch_scope, written
 
-__all__ = ["SLICE_ROWS", "WORD_RE", "ascii_lower", "by_shuffle", "keep_where", "map_arrow", "map_rows", "packed", "placed", "table", "written"]
+__all__ = ["SLICE_ROWS", "WORD_RE", "ascii_lower", "by_shuffle", "drop_paths", "keep_where", "map_arrow", "map_rows", "packed", "placed", "scratch_scope", "table", "written"]
 
 # A word, in every contract: a run of anything but space and the five ASCII white-space controls.
 WORD_RE = r"[^\x20\x09-\x0D]+"

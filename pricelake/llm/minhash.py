@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import WORD_RE, ascii_lower, by_shuffle, map_arrow, packed, written
+from pricelake.llm.common import WORD_RE, ascii_lower, by_shuffle, map_arrow, packed, scratch_scope, written
 from pricelake.llm.graph import components
 
 BANDS, ROWS, BITS = 40, 5, 4
@@ -293,20 +293,22 @@ def _own(sets: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs (doc_id, text)``."""
     spark = docs.sparkSession
-    sketched = written(spark, sketch(docs), "minhash-sketch")
-    classes = (
-        sketched.where("digest is not null")
-        .groupBy("digest")
-        .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
-    )
-    classes = written(spark, classes, "minhash-classes")
-    roots = components(links(docs, classes)).withColumnRenamed("node", "digest")
-    rooted = classes.select("digest", "id").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    # Written, so that the join back stands on a shuffle of its own on both sides and a large component can be split.
-    rooted = written(spark, rooted, "minhash-rooted")
+    with scratch_scope(spark):
+        sketched = written(spark, sketch(docs), "minhash-sketch")
+        classes = (
+            sketched.where("digest is not null")
+            .groupBy("digest")
+            .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+        )
+        classes = written(spark, classes, "minhash-classes")
+        sizes = written(spark, sketched.select("doc_id", "n_shingles", "digest"), "minhash-sizes", keep=True)
+        roots = components(links(docs, classes)).withColumnRenamed("node", "digest")
+        rooted = classes.select("digest", "id").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+        # Written, so that the join back stands on a shuffle of its own on both sides and a large component can be split.
+        rooted = written(spark, rooted, "minhash-rooted", keep=True)
     least = written(spark, rooted.groupBy("root").agg(F.min("id").alias("component_id")), "minhash-least")
     named = rooted.join(by_shuffle(least), "root").select("digest", "component_id")
-    rows = sketched.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    rows = sizes.join(named, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 

@@ -8,7 +8,7 @@ never cross documents.
    hash inside it. Consecutive windows with the same anchor form a *chunk* (the
    bytes they cover). Equal windows own equal anchors at the same place, so
    only chunks whose anchor gram occurs twice or more can hold a repeat.
-2. Equal chunks (same gram, same 128-bit digest of their bytes) that occur twice are repeats whole.
+2. Equal chunks (same gram, same 96-bit digest of their bytes) that occur twice are repeats whole.
    They are counted with a combine before the shuffle, so passages with any
    number of copies and documents with any number of copies cost one row a task.
 3. Where a gram is shared by different chunks, the windows of one chunk of each
@@ -24,7 +24,7 @@ never cross documents.
    nothing is left to halve the key is the whole window and every group has one kind.
 5. Spans are merged per distinct text and applied.
 
-Gram hashes only find candidates: what is removed was equal by 128-bit digest
+Gram hashes only find candidates: what is removed was equal by a cryptographic digest of 96 bits or more,
 or by its bytes. Null texts are empty; texts shorter than ``length`` have no windows.
 Rows that repeat each give a row. Other columns are ignored, and kept by ``without_repeats``.
 """
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import map_arrow, map_rows, packed, written
+from pricelake.llm.common import drop_paths, map_arrow, map_rows, packed, scratch_scope, written
 
 LENGTH, GRAM = 200, 48
 SHALLOW = 40  # bytes that the quicksort orders before the tries take over
@@ -238,7 +238,7 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 def chunk_table(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``row, doc_id, digest, n_bytes`` and, per chunk, ``grams, highs, lows, sites`` of every row; written, so row numbers stay.
 
-    ``highs`` and ``lows`` are a 128-bit digest of the chunk's bytes and its gram's place in them, ``sites`` where it
+    ``highs`` and ``lows`` are a 96-bit digest of the chunk's bytes and its gram's place in them, ``sites`` where it
     is: first window << 16 | further windows << 8 | gram's place after the first window (both at most ``length - gram``).
     """
 
@@ -250,11 +250,11 @@ def chunk_table(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
                 raw = t.encode()
                 grams, places, first, last = anchors(raw, length, gram)
                 digests = b"".join(
-                    hashlib.blake2b(raw[f : z + length], digest_size=16, salt=(p - f).to_bytes(2)).digest()
+                    hashlib.blake2b(raw[f : z + length], digest_size=12, salt=(p - f).to_bytes(2)).digest()
                     for p, f, z in zip(places.tolist(), first.tolist(), last.tolist(), strict=True)
                 )
-                both = np.frombuffer(digests, np.int64).reshape(-1, 2)
-                for column, values in zip(columns, (grams.view(np.int64), both[:, 0], both[:, 1], first << 16 | (last - first) << 8 | (places - first)), strict=True):
+                both = np.frombuffer(digests, np.dtype([("high", "<i8"), ("low", "<i4")]))
+                for column, values in zip(columns, (grams.view(np.int64), both["high"], both["low"], first << 16 | (last - first) << 8 | (places - first)), strict=True):
                     column.append(values)
                 counts.append(len(grams))
             offsets = pa.array(np.cumsum(counts), pa.int32())
@@ -271,7 +271,7 @@ def chunk_table(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         F.octet_length("text").cast("long").alias("n_bytes"),
         "text",
     )
-    kinds = "row long, doc_id long, digest string, n_bytes long, grams array<long>, highs array<long>, lows array<long>, sites array<long>"
+    kinds = "row long, doc_id long, digest string, n_bytes long, grams array<long>, highs array<long>, lows array<int>, sites array<long>"
     return written(docs.sparkSession, map_arrow(rows, run, kinds), "suffix-chunks")
 
 
@@ -369,48 +369,49 @@ def hot_spans(pieces: DataFrame, length: int, gram: int, hot_kinds: int) -> Data
 def repeat_spans(docs: DataFrame, chunks: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_kinds: int = HOT_KINDS) -> tuple[DataFrame, DataFrame]:
     """Spans ``digest, begin, end`` (they may overlap) of distinct texts, and the texts ``digest, text`` that have any candidates."""
     spark = docs.sparkSession
-    shared = chunks.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    shared = written(spark, shared, "suffix-grams")
-    each = chunks.select("row", F.explode(F.arrays_zip("grams", "highs", "lows", "sites")).alias("z")).select(
-        F.col("z.grams").alias("gram"), F.col("z.highs").alias("high"), F.col("z.lows").alias("low"), "row", F.col("z.sites").alias("site")
-    )
-    each = written(spark, each.join(shared, "gram", "left_semi"), "suffix-shared")
-    kinds = each.groupBy("gram", "high", "low").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "site")).alias("at"))
-    kinds = written(spark, kinds, "suffix-kinds")
-    first, windows, place = F.shiftright("site", 16), F.shiftright("site", 8).bitwiseAND(F.lit(255)), F.col("site").bitwiseAND(F.lit(255))
-
-    # One row stands for all copies of a text.
-    own = chunks.groupBy("digest").agg(F.min("row").alias("row"))
-    placed = each.join(own, "row")
-    often = kinds.where("n > 1").select("gram", "high", "low")
-    whole = placed.join(often, ["gram", "high", "low"], "left_semi").select("digest", first.alias("begin"), (first + windows + length).alias("end"))
-
-    needed = placed.select("digest").distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    texts = docs.select(text).groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("digest")).agg(F.first("text").alias("text"))
-    texts = written(spark, texts.join(needed, "digest", "left_semi"), "suffix-texts")
-
-    many = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    # Any row of a text will do, but only some hold the text's number here: go from row to digest.
-    sites = kinds.select("gram", "at.*").join(written(spark, many, "suffix-many"), "gram").join(chunks.select("row", "digest"), "row")
-    cut = F.struct("gram", first.alias("first"), windows.alias("windows"), place.cast("int").alias("place"), "kinds")
-    cuts = sites.groupBy("digest").agg(F.collect_list(cut).alias("cuts"))
-
-    def run(batches):
-        for b in batches:
-            out = {"key": [], "digest": [], "first": [], "piece": [], "place": [], "left": [], "right": [], "kinds": []}
-            for digest, t, found in zip(b["digest"], b["text"], b["cuts"], strict=True):
-                raw = t.encode()
-                for c in found:
-                    for k, v in (("key", c["gram"]), ("digest", digest), ("first", c["first"]), ("place", c["place"]), ("left", 0), ("right", 0), ("kinds", c["kinds"])):
-                        out[k].append(v)
-                    out["piece"].append(raw[c["first"] : c["first"] + c["windows"] + length])
-            yield out
-
-    pieces = written(spark, map_rows(texts.join(cuts, "digest"), run, f"key long, {PIECE}, kinds long"), "suffix-pieces")
-    spans = whole.union(sorted_spans(pieces.where(F.col("kinds") <= hot_kinds), length))
-    finer = hot_spans(pieces.where(F.col("kinds") > hot_kinds), length, gram, hot_kinds)
-    return written(spark, spans if finer is None else spans.union(finer), "suffix-spans"), texts
+    with scratch_scope(spark):
+        shared = chunks.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+        shared = written(spark, shared, "suffix-grams")
+        each = chunks.select("row", F.explode(F.arrays_zip("grams", "highs", "lows", "sites")).alias("z")).select(
+            F.col("z.grams").alias("gram"), F.col("z.highs").alias("high"), F.col("z.lows").alias("low"), "row", F.col("z.sites").alias("site")
+        )
+        each = written(spark, each.join(shared, "gram", "left_semi"), "suffix-shared")
+        kinds = each.groupBy("gram", "high", "low").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "site")).alias("at"))
+        kinds = written(spark, kinds, "suffix-kinds")
+        first, windows, place = F.shiftright("site", 16), F.shiftright("site", 8).bitwiseAND(F.lit(255)), F.col("site").bitwiseAND(F.lit(255))
+
+        # One row stands for all copies of a text.
+        own = chunks.groupBy("digest").agg(F.min("row").alias("row"))
+        placed = each.join(own, "row")
+        often = kinds.where("n > 1").select("gram", "high", "low")
+        whole = placed.join(often, ["gram", "high", "low"], "left_semi").select("digest", first.alias("begin"), (first + windows + length).alias("end"))
+
+        needed = placed.select("digest").distinct()
+        text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+        texts = docs.select(text).groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("digest")).agg(F.first("text").alias("text"))
+        texts = written(spark, texts.join(needed, "digest", "left_semi"), "suffix-texts", keep=True)
+
+        many = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+        # Any row of a text will do, but only some hold the text's number here: go from row to digest.
+        sites = kinds.select("gram", "at.*").join(written(spark, many, "suffix-many"), "gram").join(chunks.select("row", "digest"), "row")
+        cut = F.struct("gram", first.alias("first"), windows.alias("windows"), place.cast("int").alias("place"), "kinds")
+        cuts = sites.groupBy("digest").agg(F.collect_list(cut).alias("cuts"))
+
+        def run(batches):
+            for b in batches:
+                out = {"key": [], "digest": [], "first": [], "piece": [], "place": [], "left": [], "right": [], "kinds": []}
+                for digest, t, found in zip(b["digest"], b["text"], b["cuts"], strict=True):
+                    raw = t.encode()
+                    for c in found:
+                        for k, v in (("key", c["gram"]), ("digest", digest), ("first", c["first"]), ("place", c["place"]), ("left", 0), ("right", 0), ("kinds", c["kinds"])):
+                            out[k].append(v)
+                        out["piece"].append(raw[c["first"] : c["first"] + c["windows"] + length])
+                yield out
+
+        pieces = written(spark, map_rows(texts.join(cuts, "digest"), run, f"key long, {PIECE}, kinds long"), "suffix-pieces")
+        spans = whole.union(sorted_spans(pieces.where(F.col("kinds") <= hot_kinds), length))
+        finer = hot_spans(pieces.where(F.col("kinds") > hot_kinds), length, gram, hot_kinds)
+        return written(spark, spans if finer is None else spans.union(finer), "suffix-spans", keep=True), texts
 
 
 def removals(spans: DataFrame, texts: DataFrame) -> DataFrame:
@@ -439,9 +440,13 @@ def removals(spans: DataFrame, texts: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_kinds: int = HOT_KINDS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row of ``docs (doc_id, text)``."""
-    chunks = chunk_table(docs, length, gram)
+    spark = docs.sparkSession
+    with scratch_scope(spark, drop=False) as large:
+        chunks = chunk_table(docs, length, gram)
+    rows = written(spark, chunks.select("doc_id", "n_bytes", "digest"), "suffix-rows")
     done = removals(*repeat_spans(docs, chunks, length, gram, hot_kinds)).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
-    return chunks.select("doc_id", "n_bytes", "digest").join(done, "digest", "left").select(
+    drop_paths(spark, large)
+    return rows.join(done, "digest", "left").select(
         "doc_id",
         "n_bytes",
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
@@ -452,7 +457,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """All rows and columns of ``docs`` with repeats cut out of ``text``; a character cut in part goes whole."""
-    kept = removals(*repeat_spans(docs, chunk_table(docs, length, gram), length, gram))
+    with scratch_scope(docs.sparkSession, drop=False) as large:
+        chunks = chunk_table(docs, length, gram)
+    kept = removals(*repeat_spans(docs, chunks, length, gram))
+    drop_paths(docs.sparkSession, large)
 
     def run(batches):
         for b in batches:

@@ -71,16 +71,14 @@ def test_queries_equal_their_sql(spark, name):
     assert rows_of(got.select(*columns)) == sorted(cur.fetchall(), key=repr)
 
 
-def test_stages_keep_columns_whatever_their_names(spark, tmp_dir):
+def test_stages_keep_columns_whatever_their_names(spark):
     """Columns named like an operator's own come through every stage as they were."""
-    spark.createDataFrame([(5, 1, 1), (1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
-    spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
     names = "parts _key _index _kept _digest _part _bucket key p own kept digest id row nth at member hash bucket kept_id".split()
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id < 60")
     docs = docs.select("*", *(F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names))
     columns, rows = docs.columns, docs.count()
     for name, stage in pipeline.STAGES:
-        out = stage(spark, docs, tmp_dir)
+        out = stage(spark, docs, SF_SMALL)
         assert out.columns[: len(columns)] == columns, name
         got = out.collect()
         assert 0 < len(got) <= rows and all(r[n] == f"{n}:{r.doc_id}" for r in got for n in names), name
