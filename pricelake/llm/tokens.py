@@ -29,8 +29,8 @@ from pricelake.llm.common import map_rows
 CHUNK_BYTES = 32768
 OVERLAP_BYTES = 256
 TOKEN_LIMIT = 4096
-# Bound on the segments whose counts one batch keeps.
-CACHE_SEGMENTS = 500_000
+# Segments of up to so many characters are remembered, until so many characters are.
+CACHE_LENGTH, CACHE_CHARS = 64, 8 << 20
 
 SPACE = "▁"  # how the vocabulary writes a space
 _SEGMENT = re.compile(r"(?<=[^ ]) ")
@@ -50,6 +50,7 @@ class PieceCounter:
         # UTF-8 bytes that a token stands for.
         self.sizes = np.array([1 if sp.is_byte(i) else len(sp.id_to_piece(i).replace(SPACE, " ").encode()) for i in range(sp.vocab_size())])
         self.known: dict[str, int] = {}
+        self.held = 0  # characters of the segments known
 
     def stable(self, left: str, right: str) -> bool:
         pair = (SPACE if left == " " else left, SPACE if right == " " else right)
@@ -120,13 +121,21 @@ class PieceCounter:
             if parts[-1][-1:] in ("", " "):
                 last = parts.pop()
                 tail = len(self.sp.encode(last)) if last or not parts else 1
-            new = list({p for p in parts if p not in self.known})
+            known = self.known
+            new = list({p for p in parts if p not in known})
             if new:
-                if len(self.known) > CACHE_SEGMENTS:
-                    self.known.clear()
-                    new = list(set(parts))
-                self.known.update(zip(new, self.count_words(new), strict=True))
-            out.append(sum(map(self.known.__getitem__, parts)) + tail)
+                if self.held > CACHE_CHARS:
+                    known.clear()
+                    self.held, new = 0, list(set(parts))
+                counts = dict(zip(new, self.count_words(new), strict=True))
+                short = [p for p in new if len(p) <= CACHE_LENGTH]
+                known.update((p, counts[p]) for p in short)
+                self.held += sum(map(len, short))
+                # Long segments, whole texts in scripts without spaces, are counted and forgotten.
+                total = sum(known[p] if p in known else counts[p] for p in parts) if len(short) < len(new) else sum(map(known.__getitem__, parts))
+            else:
+                total = sum(map(known.__getitem__, parts))
+            out.append(total + tail)
         return out
 
 

@@ -33,3 +33,15 @@ def test_query_rows(spark):
     assert rows_of(token_counts(edge_docs(spark), MODEL)) == expected
     assert rows_of(token_counts(edge_docs(spark), MODEL, chunk_bytes=64, overlap_bytes=8)) == expected
     assert rows_of(token_counts(no_docs(spark), MODEL)) == []
+
+
+def test_long_segments_are_counted_and_not_kept(monkeypatch):
+    from pricelake.llm import tokens
+
+    c = tokens.PieceCounter(MODEL)
+    monkeypatch.setattr(tokens, "CACHE_CHARS", 2000)
+    rnd = random.Random(11)
+    for _ in range(60):
+        text = " ".join("".join(rnd.choice("世界né") for _ in range(rnd.choice([3, 500]))) for _ in range(rnd.randint(1, 9)))
+        assert c.count_batch([text, text]) == [len(c.sp.encode(text))] * 2
+    assert max(map(len, c.known)) <= tokens.CACHE_LENGTH and sum(map(len, c.known)) == c.held <= 2000 + 9 * 64
