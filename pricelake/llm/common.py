@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pricelake.operators.places import placed
 from pricelake.session import drop_paths, scratch_scope, written
 
-__all__ = ["SLICE_ROWS", "WORD_RE", "ascii_lower", "by_shuffle", "drop_paths", "keep_where", "map_arrow", "map_rows", "packed", "placed", "scratch_scope", "table", "written"]
+__all__ = ["SLICE_ROWS", "WORD_RE", "ascii_lower", "by_shuffle", "drop_paths", "given_back", "keep_where", "map_arrow", "map_rows", "own_names", "placed", "scratch_scope", "set_aside", "table", "written"]
 
 # A word, in every contract: a run of anything but space and the five ASCII white-space controls.
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -24,10 +24,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def packed(docs: DataFrame, *extra: Column) -> DataFrame:
-    """``own``, a struct of all columns of ``docs``, beside ``extra`` ones: whatever the input's columns are called, none can
-    clash with those of an operator. ``select("own.*")`` gives them back."""
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own"), *extra)
+def set_aside(docs: DataFrame, *extra: Column) -> DataFrame:
+    """The columns of ``docs`` under names of their own, ``own0, own1, ...``, beside ``extra`` ones.
+
+    Whatever the input's columns are called, none can clash with those of an operator; :func:`given_back` names them again.
+    """
+    return docs.select(*(F.col(f"`{c}`").alias(f"own{i}") for i, c in enumerate(docs.columns)), *extra)
+
+
+def own_names(docs: DataFrame) -> list[str]:
+    return [f"own{i}" for i in range(len(docs.columns))]
+
+
+def given_back(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs`` as they were, from those that were set aside."""
+    return [F.col(o).alias(c) for o, c in zip(own_names(docs), docs.columns, strict=True)]
 
 
 def by_shuffle(df: DataFrame) -> DataFrame:

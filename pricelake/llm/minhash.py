@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import WORD_RE, ascii_lower, by_shuffle, map_arrow, packed, scratch_scope, written
+from pricelake.llm.common import WORD_RE, ascii_lower, by_shuffle, given_back, map_arrow, scratch_scope, set_aside, written
 from pricelake.llm.graph import components
 
 BANDS, ROWS, BITS = 40, 5, 4
@@ -316,5 +316,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that their component keeps, all columns; rows that repeat a kept id stay together."""
     kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = packed(docs, F.col("doc_id").cast("long").alias("id"))
-    return rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi").select("own.*")
+    rows = set_aside(docs, F.col("doc_id").cast("long").alias("id"))
+    return rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi").select(*given_back(docs))

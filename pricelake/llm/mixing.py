@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricelake.llm.common import packed, placed, written
+from pricelake.llm.common import given_back, own_names, placed, set_aside, written
 
 BLOCK_ROWS = 16
 RESOLUTION, LEAST_PARTS = 1000, 10
@@ -189,8 +189,8 @@ def block_slots(sources: DataFrame, levels: list[DataFrame], fanin: int = FANIN)
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``own`` (all columns), ``key`` and ``nth``, a number from 0 within the source, in an order mixed by hash."""
-    keyed = packed(docs, _key(F.col("source")).alias("key"), F.xxhash64("doc_id", "text").alias("hash"), F.col("doc_id").alias("id"))
+    """The columns set aside, ``key`` and ``nth``, a number from 0 within the source, in an order mixed by hash."""
+    keyed = set_aside(docs, _key(F.col("source")).alias("key"), F.xxhash64("doc_id", "text").alias("hash"), F.col("doc_id").alias("id"))
     buckets = max(1, int(docs.count() ** 0.5))
     keyed = keyed.withColumn("bucket", F.pmod("hash", F.lit(buckets)))
     sizes = keyed.groupBy("key", "bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -198,7 +198,7 @@ def numbered(docs: DataFrame) -> DataFrame:
     starts = sizes.select("key", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     own = Window.partitionBy("key", "bucket").orderBy("hash", "id")
     ranked = keyed.withColumn("rank", F.row_number().over(own) - 1)
-    return ranked.join(starts, ["key", "bucket"]).select("own", "key", (F.col("start") + F.col("rank")).alias("nth"))
+    return ranked.join(starts, ["key", "bucket"]).select(*own_names(docs), "key", (F.col("start") + F.col("rank")).alias("nth"))
 
 
 def mix(docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLOCK_ROWS, fanin: int = FANIN) -> DataFrame:
@@ -212,7 +212,7 @@ def mix(docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLO
     if len(levels) == 1:
         # At most fanin rows, whose places together are at most phases * MAX_PERIOD: a proven bound.
         plan = F.broadcast(sources.join(levels[0], "member").select(F.col("key").alias("member"), "parts"))
-        done = _slots(rows.select("own", F.col("key").alias("member"), "block", F.col("block").alias("nth"), "at"), plan)
+        done = _slots(rows.select(*own_names(docs), F.col("key").alias("member"), "block", F.col("block").alias("nth"), "at"), plan)
     else:
         done = rows.join(block_slots(sources, levels, fanin), ["key", "block"])
-    return done.withColumn("position", F.col("slot") * block_rows + F.col("at")).select("own.*", *ADDED)
+    return done.withColumn("position", F.col("slot") * block_rows + F.col("at")).select(*given_back(docs), *ADDED)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import drop_paths, map_arrow, map_rows, packed, scratch_scope, written
+from pricelake.llm.common import drop_paths, given_back, map_arrow, map_rows, scratch_scope, set_aside, written
 
 LENGTH, GRAM = 200, 48
 SHALLOW = 40  # bytes that the quicksort orders before the tries take over
@@ -468,5 +468,6 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 
     cleaned = map_rows(kept.select("digest", "kept"), run, "digest string, kept string")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    joined = packed(docs, F.sha2(text.cast("binary"), 256).alias("digest")).join(cleaned, "digest", "left")
-    return joined.select(F.col("own").withField("text", F.coalesce("kept", F.col("own.text"))).alias("own")).select("own.*")
+    joined = set_aside(docs, F.sha2(text.cast("binary"), 256).alias("digest")).join(cleaned, "digest", "left")
+    own = dict(zip(docs.columns, given_back(docs), strict=True))
+    return joined.select(*(F.coalesce(F.col("kept"), v).alias(c) if c == "text" else v for c, v in own.items()))
