@@ -308,7 +308,7 @@ def q_commodity_lookup(spark, sf_dir):
 _rolled: dict[str, tuple[str, str]] = {}
 
 
-def _rollup(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def materialize_rollup(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """A table written in four batches and its states, refreshed after each; made once per application and source."""
     mark = f"{application_scratch(spark)}/rolled-{_fingerprint(spark, sf_dir)}"
     if mark not in _rolled:
@@ -323,19 +323,19 @@ def _rollup(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def q_rollup_states_summary(spark, sf_dir):
-    return rollups.merged_state_summary(spark, *_rollup(spark, sf_dir))
+    return rollups.merged_state_summary(spark, *materialize_rollup(spark, sf_dir))
 
 
 def q_rollup_profile(spark, sf_dir):
-    return rollups.merged_profile(spark, *_rollup(spark, sf_dir))
+    return rollups.merged_profile(spark, *materialize_rollup(spark, sf_dir))
 
 
 def q_rollup_top_commodities(spark, sf_dir):
-    return summaries.top_commodities(rollups.merged_commodity_stats(spark, *_rollup(spark, sf_dir)), CFG)
+    return summaries.top_commodities(rollups.merged_commodity_stats(spark, *materialize_rollup(spark, sf_dir)), CFG)
 
 
 def q_rollup_volatility(spark, sf_dir):
-    return summaries.price_volatility(rollups.merged_commodity_stats(spark, *_rollup(spark, sf_dir)), CFG)
+    return summaries.price_volatility(rollups.merged_commodity_stats(spark, *materialize_rollup(spark, sf_dir)), CFG)
 
 
 def _sql_functions(spark, sf_dir, query):
