@@ -252,6 +252,12 @@ def q_flatten_pages(spark, sf_dir):
     return pages_src.flatten_pages(pages)
 
 
+def q_record_quarantine(spark, sf_dir):
+    """Every record of pages of which each third holds a list element that is no record, and those elements."""
+    pages = written(spark, fx.pages_from_records(fx.raw_with_key(spark, sf_dir), odd_every=3), "pages")
+    return pages_src.flatten_records(fx.broken_pages(pages))
+
+
 def q_page_quarantine(spark, sf_dir):
     """Pages and records that parse, and pages that do not."""
     pages = _pages(spark, sf_dir)
@@ -469,6 +475,7 @@ QUERIES: dict[str, Query] = {
     "volatility_feed": q_volatility_feed,
     "flatten_pages": q_flatten_pages,
     "page_quarantine": q_page_quarantine,
+    "record_quarantine": q_record_quarantine,
     "land_pages": q_land_pages,
     "landing_inventory": q_landing_inventory,
     "read_mixed_headers": q_read_mixed_headers,

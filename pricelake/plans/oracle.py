@@ -284,6 +284,11 @@ UNION ALL SELECT state, 'unique_commodities' AS metric, unique_commodities AS va
        CASE WHEN k%7=0 THEN '' ELSE coalesce({price_text('modal_price')},'') END AS modal_price
 FROM raw_k""",
     )
+    no_record = ", ".join(f"NULL AS {c}" for c in RAW_COLS.split(", "))
+    q["record_quarantine"] = (
+        f"SELECT {RAW_COLS}, NULL AS odd FROM ({q['flatten_pages']}) UNION ALL "
+        f"SELECT {no_record}, '7' AS odd FROM (SELECT DISTINCT (l_orderkey * 10 + l_linenumber) // 100 AS p FROM lineitem) WHERE p % 3 = 0"
+    )
     landed = ", ".join(f"CAST(nullif({c}, '') AS {'DOUBLE' if c.endswith('_price') else 'VARCHAR'}) AS {c}" for c in RAW_COLS.split(", "))
     q["land_pages"] = f"SELECT {landed} FROM ({q['flatten_pages']})"
     q["landing_inventory"] = _with(

@@ -127,14 +127,15 @@ def done_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.filter((F.col("n_nationkey") % 3) == 0).select(F.col("n_name").alias("state"))
 
 
-def pages_from_records(raw_k: DataFrame, page_size: int = 100) -> DataFrame:
+def pages_from_records(raw_k: DataFrame, page_size: int = 100, odd_every: int | None = None) -> DataFrame:
     """API-style JSON pages built from keyed raw records (column ``value``).
 
     Records with consecutive keys share a page (at most ``page_size`` keys per
     page). Prices are whole-rupee strings, as the API serves them. Key
     variants follow ``k``: the arrival date under its alias ``arrivaldate``
     (k % 3), ``min_price`` present as null next to its alias (k % 4), an extra
-    key (k % 5), and no modal price at all (k % 7).
+    key (k % 5), and no modal price at all (k % 7). With ``odd_every``, every so manieth page ends in a list element
+    that is a number.
     """
 
     def price(c: str) -> Column:
@@ -158,7 +159,8 @@ def pages_from_records(raw_k: DataFrame, page_size: int = 100) -> DataFrame:
     return (
         raw_k.groupBy(page.alias("page_id"))
         .agg(F.count(F.lit(1)).alias("total"), F.collect_list(record).alias("records"))
-        .select(F.to_json(F.struct("total", "records")).alias("value"))
+        .select("page_id", F.to_json(F.struct("total", "records")).alias("value"))
+        .select((F.when(F.col("page_id") % odd_every == 0, F.regexp_replace("value", r"\]\}$", ",7]}")).otherwise(F.col("value")) if odd_every else F.col("value")).alias("value"))
     )
 
 

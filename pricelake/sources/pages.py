@@ -50,6 +50,37 @@ def flatten_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
     return records.select(*page_fields(F.col("_r")))
 
 
+def flatten_records(pages: DataFrame, value_col: str = "value") -> DataFrame:
+    """S7, record by record: the ten fields of every record, and ``odd``, the JSON of list elements that are no records.
+
+    Pages are parsed as VARIANT, so an element that is no object (a number, a list) costs itself and not its page, as it
+    does where the whole list has one type. Numbers and booleans become text as VARIANT spells them (all digits of a
+    decimal, without zeros at its end), nested values stay as JSON text. A page that does not parse, or has
+    no ``records`` list, gives no rows (:func:`odd_pages`).
+    """
+    each = pages.select(F.explode(_variant_records(F.col(value_col))).alias("_r"))
+    each = each.select("_r", F.try_variant_get("_r", "$", "map<string,variant>").alias("_m"))
+
+    def text(name: str) -> Column:
+        return F.coalesce(F.try_variant_get(F.col("_m")[name], "$", "string"), F.lit(""))
+
+    fields = []
+    for f in RAW_FIELDS:
+        alias = f.replace("_", "")
+        value = text(f) if alias == f else F.when(F.map_contains_key("_m", F.lit(f)), text(f)).otherwise(text(alias))
+        fields.append(F.when(F.col("_m").isNotNull(), value).alias(f))
+    return each.select(*fields, F.when(F.col("_m").isNull(), F.to_json("_r")).alias("odd"))
+
+
+def odd_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
+    """Text of the pages that do not parse or have no ``records`` list."""
+    return pages.where(_variant_records(F.col(value_col)).isNull()).select(F.col(value_col).alias("value"))
+
+
+def _variant_records(value: Column) -> Column:
+    return F.try_variant_get(F.try_parse_json(value), "$.records", "array<variant>")
+
+
 def dry_run(pages: DataFrame, value_col: str = "value") -> DataFrame:
     """Field names and JSON of the first record of the first non-empty page; nothing is written."""
     first = pages.select(F.get(records_of(F.col(value_col)), 0).alias("_r"))  # null for an empty page (no ANSI index error)

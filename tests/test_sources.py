@@ -208,3 +208,23 @@ def test_pages_dry_run(spark):
     rows = pages.dry_run(pages_df).collect()
     assert len(rows) == 1 and rows[0].fields == ["arrivaldate", "state"]
     assert json.loads(rows[0].record) == {"state": "Goa", "arrivaldate": "01/02/2000"}
+
+
+def test_records_that_are_none_cost_themselves_and_not_their_page(spark, tmp_dir):
+    page = '{"records": [{"state": "Goa", "min_price": 15.25, "max_price": 12345678901234567890.125, "modal_price": null, "modalprice": 3, '
+    page += '"arrivaldate": "01/02/2000", "grade": {"a": [1, 2]}, "variety": true, "extra": 1}, 5, [1], null, {"district": "D"}]}'
+    _write(tmp_dir, "a.json", [page])
+    _write(tmp_dir, "b.json", ['{"records": {}}'])
+    _write(tmp_dir, "c.json", ["{broken"])
+    _write(tmp_dir, "d.json", ['{"records": []}'])
+    read = pages.read_pages(spark, tmp_dir)
+    rows = pages.flatten_records(read).collect()
+    good = [r for r in rows if r.odd is None]
+    assert sorted(r.odd for r in rows if r.odd is not None) == ["5", "[1]", "null"]
+    assert [(r.state, r.min_price, r.max_price, r.modal_price, r.arrival_date, r.grade, r.variety, r.market) for r in good] == [
+        ("Goa", "15.25", "12345678901234567890.125", "", "01/02/2000", '{"a":[1,2]}', "true", ""),
+        ("", "", "", "", "", "", "", ""),
+    ]
+    assert good[1].district == "D"
+    assert pages.odd_pages(read).count() == 2
+    assert pages.split_pages(read)[1].count() == 3  # one type for the whole list loses page a
