@@ -44,7 +44,7 @@ from pricelake.llm.common import drop_paths, given_back, map_arrow, map_rows, sc
 LENGTH, GRAM = 200, 48
 SHALLOW = 40  # bytes that the quicksort orders before the tries take over
 # Sorts hold about so many chunks; grams with more kinds of chunk than that are dealt finer.
-POOL_CHUNKS, HOT_KINDS = 4096, 2048
+POOL_CHUNKS, HOT_KINDS = 1024, 1024
 # Window starts of a very long text are taken so many at a time.
 BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 5
