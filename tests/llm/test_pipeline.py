@@ -84,6 +84,17 @@ def test_stages_keep_columns_whatever_their_names(spark):
         assert 0 < len(got) <= rows and all(r[n] == f"{n}:{r.doc_id}" for r in got for n in names), name
 
 
+def test_toxic_documents_go_and_clean_ones_stay(spark):
+    root = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{root}/labels.parquet").collect()}
+    kept = {r.doc_id for r in dict(pipeline.STAGES)["toxicity"](spark, docs, root).select("doc_id").collect()}
+    gone = [i not in kept for i, toxic in labels.items() if toxic == 1]
+    assert len(gone) > 300 and sum(gone) / len(gone) > 0.85
+    clean = [i in kept for i, toxic in labels.items() if toxic == 0]
+    assert sum(clean) / len(clean) > 0.99
+
+
 def test_registered():
     names = collections.Counter(n.split("_")[0] for n in entry.queries())
     assert all(names[f"op{n}"] == 1 for n in range(1, 14)) and names["pipeline"] == 1

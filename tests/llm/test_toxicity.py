@@ -62,3 +62,22 @@ def test_edge_rows(spark):
     assert all(r.score == float(r.predicted) for r in t.score(edge_docs(spark), ones).collect())
     assert t.score(no_docs(spark), model).count() == 0
     assert t.score(no_docs(spark), t.fit(no_docs(spark), labels)).count() == 0
+
+
+def test_held_out_labels_of_the_tables(spark):
+    """Ranking and calibration on rows that neither the trees nor the curve have seen."""
+    root = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{root}/labels.parquet")
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    model = t.fit(docs, labels)
+    truth = {r.doc_id: r.toxic for r in labels.where(t.held_out(labels.doc_id) & labels.toxic.isNotNull()).collect()}
+    scores = {r.doc_id: r.score for r in t.score(docs.join(labels.select("doc_id"), "doc_id", "left_semi"), model).collect() if r.doc_id in truth}
+    y, s = np.array([truth[i] for i in scores]), np.array([scores[i] for i in scores])
+    assert y.sum() > 50 and len(y) > 500
+    order = np.argsort(s, kind="stable")
+    below = np.searchsorted(s[order], s[y == 1], side="left"), np.searchsorted(s[order], s[y == 1], side="right")
+    ranks = (below[0] + below[1] + 1) / 2  # of toxic ones, ties in the middle
+    auc = (ranks.sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
+    brier = float(((s - y) ** 2).mean())
+    assert auc > 0.95 and brier < 0.05, (auc, brier)
+    assert abs(s.mean() - y.mean()) < 0.03  # calibrated in the large
