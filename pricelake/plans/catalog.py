@@ -282,7 +282,7 @@ def q_landing_inventory(spark, sf_dir):
     path, other = scratch_path(spark, "listed"), scratch_path(spark, "listed-again")
     keyed = written(spark, fx.raw_with_key(spark, sf_dir), "keyed")
     csv_src.land_raw_csv(keyed, path, key=fx.landing_key())
-    csv_src.land_raw_csv(fx.second_landing(keyed).repartition(3), other, key=fx.landing_key())
+    csv_src.land_raw_csv(fx.second_landing(keyed).repartition("k"), other, key=fx.landing_key())
     found = inventory.compare_contents(inventory.content_inventory(spark, path), inventory.content_inventory(spark, other))
     return found.select("partition", "lines_before", "lines_after", "status", "matches")
 

@@ -40,3 +40,15 @@ def test_cleaning_of_the_derived_records_is_compiled(spark, tables, static_plans
         sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
         assert sizes and max(sizes) < 8000  # the JVM interprets longer methods
     assert fx.raw_records(spark, tables).count() == 480
+
+
+def test_second_landing_is_dealt_over_all_tasks(spark, tables, static_plans, monkeypatch):
+    landed = []
+    monkeypatch.setattr(catalog.csv_src, "land_raw_csv", lambda df, *a, **kw: landed.append(df))
+    monkeypatch.setattr(catalog.inventory, "content_inventory", lambda *a: spark.createDataFrame([], "partition string, files int, bytes int, lines int, content string"))
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        catalog.q_landing_inventory(spark, tables)
+        assert landed[1]._jdf.queryExecution().toRdd().getNumPartitions() == 16
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
