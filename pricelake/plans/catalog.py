@@ -243,8 +243,8 @@ def q_volatility_feed(spark, sf_dir):
 # ----------------------------------------------------------------------------- sources, sinks, landing
 
 def _pages(spark, sf_dir):
-    """Pages made from the raw records, written once, with broken ones beside them."""
-    return fx.broken_pages(written(spark, fx.pages_from_records(fx.raw_with_key(spark, sf_dir)), "pages"))
+    """Pages made from the raw records, with broken ones beside them."""
+    return fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir)))
 
 
 def q_flatten_pages(spark, sf_dir):
@@ -254,13 +254,12 @@ def q_flatten_pages(spark, sf_dir):
 
 def q_record_quarantine(spark, sf_dir):
     """Every record of pages of which each third holds a list element that is no record, and those elements."""
-    pages = written(spark, fx.pages_from_records(fx.raw_with_key(spark, sf_dir), odd_every=3), "pages")
-    return pages_src.flatten_records(fx.broken_pages(pages))
+    return pages_src.flatten_records(fx.broken_pages(fx.pages_from_records(fx.raw_with_key(spark, sf_dir), odd_every=3)))
 
 
 def q_page_quarantine(spark, sf_dir):
     """Pages and records that parse, and pages that do not."""
-    pages = _pages(spark, sf_dir)
+    pages = written(spark, _pages(spark, sf_dir), "pages")  # read twice
     good, bad = pages_src.split_pages(pages)
     has_bad = bad.agg(F.count(F.lit(1)) > 0).scalar()
     counts = good.agg(F.count(F.lit(1)).alias("good_pages"), F.coalesce(F.sum(F.size("records")), F.lit(0)).alias("records"))
@@ -270,8 +269,7 @@ def q_page_quarantine(spark, sf_dir):
 def q_land_pages(spark, sf_dir):
     """Pages landed by state, one state first, then the others, then nothing left; read back as raw rows."""
     path = scratch_path(spark, "landed")
-    pages = _pages(spark, sf_dir)
-    pages.write.text(f"{path}/pages")
+    _pages(spark, sf_dir).write.option("compression", "gzip").text(f"{path}/pages")
     for only in (fx.ONE_STATE, None, None):
         land_pages(spark, f"{path}/pages", f"{path}/landing", f"{path}/manifest", f"{path}/bad", only=only, one_per_line=True)
     return csv_src.read_raw_csv(spark, f"{path}/landing")

@@ -91,7 +91,7 @@ def land_pages(
     run = uuid.uuid4().hex
     sources, entries = [], None
     if not new.isEmpty():
-        fresh = written(spark, parsed(read_pages_of(spark, pages_path, new, one_per_line)), "parsed-pages")
+        fresh = written(spark, parsed(read_pages_of(spark, pages_path, new, one_per_line)), "parsed-pages", compression="zstd")
         entries = written(spark, _entries(new, fresh, run), "page-entries")
         sources.append(fresh.where(F.col("bad").isNull()))
     held = known if entries is None else known.unionByName(entries)
@@ -115,7 +115,7 @@ def land_pages(
         record_manifest(pending, manifest)
     if entries is not None:
         if quarantine:
-            fresh.where(F.col("bad").isNotNull()).select(F.col("bad").alias("value")).write.parquet(f"{quarantine.rstrip('/')}/run={run}")
+            fresh.where(F.col("bad").isNotNull()).select(F.col("bad").alias("value")).write.option("compression", "zstd").parquet(f"{quarantine.rstrip('/')}/run={run}")
         entries.write.mode("append").parquet(ledger)
     bad = held.agg(F.coalesce(F.sum("bad_pages"), F.lit(0)).alias("n")).first()["n"]
     return LandingResult(done["n"], done["rows"], bad)

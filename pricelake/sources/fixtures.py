@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.schema import RAW_FIELDS
+from pricelake.schema import PRICE_FIELDS, RAW_FIELDS
 
 # Year range of the generated dates (1995-2001); the reference window starts in 2013.
 FIXTURE_MIN_YEAR = 1996
@@ -142,7 +142,7 @@ def pages_from_records(raw_k: DataFrame, page_size: int = 100, odd_every: int |
     """
 
     def price(c: str) -> Column:
-        return F.floor(F.col(c)).cast("bigint").cast("string")
+        return F.col(c).cast("string")
 
     def entry(key: Column, value: Column) -> Column:
         return F.struct(key.alias("key"), value.alias("value"))
@@ -159,20 +159,30 @@ def pages_from_records(raw_k: DataFrame, page_size: int = 100, odd_every: int |
     ]
     record = F.map_from_entries(F.filter(F.array(*entries), lambda e: e["key"].isNotNull()))
     page = F.floor(F.col("k") / F.lit(page_size))
-    return (
-        raw_k.groupBy(page.alias("page_id"))
+    # Rows move as they are and become JSON where their page is made; a shuffle of made records would be far wider.
+    whole = {c: F.floor(F.col(c)).cast("bigint") for c in PRICE_FIELDS}
+    pages = (
+        raw_k.withColumn("page_id", page)
+        .withColumns(whole)
+        .repartition("page_id")
+        .groupBy("page_id")
         .agg(F.count(F.lit(1)).alias("total"), F.collect_list(record).alias("records"))
         .select("page_id", F.to_json(F.struct("total", "records")).alias("value"))
-        .select((F.when(F.col("page_id") % odd_every == 0, F.regexp_replace("value", r"\]\}$", ",7]}")).otherwise(F.col("value")) if odd_every else F.col("value")).alias("value"))
     )
+    if odd_every is None:
+        return pages.select("value")
+    odd = F.regexp_replace("value", r"\]\}$", ",7]}")
+    return pages.select(F.when(F.col("page_id") % odd_every == 0, odd).otherwise(F.col("value")).alias("value"))
 
 
 def broken_pages(pages: DataFrame) -> DataFrame:
     """Pages with every fifth (by number) followed by a copy cut short, and every seventh by one without a record list."""
     n = F.regexp_extract("value", r'"total":(\d+)', 1).cast("int") + F.length("value")
-    cut = pages.filter(n % 5 == 0).select(F.expr("substring(value, 1, length(value) - 3)").alias("value"))
-    empty = pages.filter(n % 7 == 0).select(F.to_json(F.struct(F.md5("value").alias("message"))).alias("value"))
-    return pages.select("value").union(cut).union(empty)
+    cut = F.expr("substring(value, 1, length(value) - 3)")
+    empty = F.to_json(F.struct(F.md5("value").alias("message")))
+    none = F.array().cast("array<string>")
+    copies = F.concat(F.array("value"), F.when(n % 5 == 0, F.array(cut)).otherwise(none), F.when(n % 7 == 0, F.array(empty)).otherwise(none))
+    return pages.select(F.explode(copies).alias("value"))  # one pass over the pages
 
 
 def region_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,6 +42,37 @@ def test_cleaning_of_the_derived_records_is_compiled(spark, tables, static_plans
     assert fx.raw_records(spark, tables).count() == 480
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("query", [catalog.q_flatten_pages, catalog.q_record_quarantine])
+def test_pages_are_made_after_their_only_shuffle(spark, tables, static_plans, query):
+    plan = plan_of(query(spark, tables))
+    assert len(re.findall(r"Exchange hashpartitioning\(page_id", plan)) == 1
+    assert plan.index("collect_list") < plan.rindex("partial_collect_list") < plan.index("Exchange hashpartitioning(page_id")
+    assert len(re.findall(r"Scan parquet .*l_orderkey", plan)) == 1  # broken copies come from the same pass
+
+
+def test_broken_pages_keep_every_page_and_add_copies(spark):
+    texts = [f'{{"total":{n},"records":[{{"state":"{"x" * n}"}}]}}' for n in range(70)]
+    both = [r["value"] for r in fx.broken_pages(spark.createDataFrame([(t,) for t in texts], "value string")).collect()]
+    fifth = [t[:-3] for n, t in enumerate(texts) if (n + len(t)) % 5 == 0]
+    seventh = [t for n, t in enumerate(texts) if (n + len(t)) % 7 == 0]
+    assert sorted(t for t in both if "message" not in t) == sorted(texts + fifth)
+    assert fifth and seventh and sum("message" in t for t in both) == len(seventh)
+
+
+def test_page_files_are_compressed(spark, tables, monkeypatch):
+    seen = []
+    monkeypatch.setattr(catalog, "land_pages", lambda spark, pages, *a, **kw: seen.append(pages))
+    monkeypatch.setattr(catalog.csv_src, "read_raw_csv", lambda *a: None)
+    catalog.q_land_pages(spark, tables)
+    names = [r["path"] for r in spark.read.format("binaryFile").load(seen[0]).select("path").collect()]
+    assert names and all(n.endswith(".txt.gz") for n in names)
+    assert spark.read.text(seen[0]).where("value like '{\"total\":%'").count() >= 13  # 480 keys up to 1,193
+
+
 def test_second_landing_is_dealt_over_all_tasks(spark, tables, static_plans, monkeypatch):
     landed = []
     monkeypatch.setattr(catalog.csv_src, "land_raw_csv", lambda df, *a, **kw: landed.append(df))
