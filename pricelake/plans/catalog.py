@@ -316,10 +316,9 @@ def materialize_rollup(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """A table written in four batches and its states, refreshed after each; made once per application and source."""
     mark = f"{application_scratch(spark)}/rolled-{_fingerprint(spark, sf_dir)}"
     if mark not in _rolled:
-        keyed = written(spark, fx.raw_with_key(spark, sf_dir), "keyed")
         table, states = f"{mark}/table", f"{mark}/states"
         for i in range(4):
-            part = clean.clean_records(keyed.where(F.col("k") % 4 == i).select(*RAW_FIELDS), CFG)
+            part = clean.clean_records(fx.raw_with_key(spark, sf_dir, share=(i, 4)).select(*RAW_FIELDS), CFG)
             pq.write_processed(part, table, mode="append" if i else "overwrite")
             rollups.refresh(spark, table, states)
         _rolled[mark] = (table, states)
@@ -413,9 +412,8 @@ def q_stream_ingest(spark, sf_dir):
 
 def q_batch_then_stream(spark, sf_dir):
     """Half of the records by the batch job, the others by the stream, a batch append at last: one table."""
-    keyed = fx.raw_with_key(spark, sf_dir)
     out, ckpt = scratch_path(spark, "both-processed"), scratch_path(spark, "both-checkpoint")
-    first, second, third = (keyed.filter(F.col("k") % 3 == i) for i in range(3))
+    first, second, third = (fx.raw_with_key(spark, sf_dir, share=(i, 3)) for i in range(3))
     pq.write_processed(clean.clean_records(first.select(*RAW_FIELDS), CFG), out)
     path = scratch_path(spark, "both-landing")
     csv_src.land_raw_csv(second, path, key=fx.landing_key())

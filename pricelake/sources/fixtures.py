@@ -38,8 +38,8 @@ def _ddmmyyyy(c: str) -> Column:
     return F.concat_ws("/", two(F.dayofmonth(c)), two(F.month(c)), F.year(c).cast("string"))
 
 
-def raw_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw price records with their key ``k`` and the clean nation name."""
+def raw_with_key(spark: SparkSession, sf_dir: str, share: tuple[int, int] | None = None) -> DataFrame:
+    """Raw price records with their key ``k`` and the clean nation name; with ``share`` ``(i, n)`` those with ``k % n = i``."""
     li = table(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"),
         "l_partkey",
@@ -50,6 +50,9 @@ def raw_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_discount",
         "l_tax",
     )
+    if share:
+        i, n = share
+        li = li.where(F.col("k") % n == i)  # before the joins
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")

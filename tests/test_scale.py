@@ -83,3 +83,11 @@ def test_second_landing_is_dealt_over_all_tasks(spark, tables, static_plans, mon
         assert landed[1]._jdf.queryExecution().toRdd().getNumPartitions() == 16
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_a_share_of_the_keys_is_taken_before_the_joins(spark, tables, static_plans):
+    shares = [fx.raw_with_key(spark, tables, share=(i, 3)) for i in range(3)]
+    plan = plan_of(shares[1])
+    assert plan.rindex("% 3") > plan.rindex("HashJoin [")  # printed from the top
+    every = sorted(map(repr, fx.raw_with_key(spark, tables).collect()))
+    assert sorted(repr(r) for s in shares for r in s.collect()) == every
