@@ -145,32 +145,33 @@ def pages_from_records(raw_k: DataFrame, page_size: int = 100, odd_every: int |
     """
 
     def price(c: str) -> Column:
+        return F.floor(F.col(c)).cast("bigint")
+
+    def text(c: str) -> Column:
         return F.col(c).cast("string")
 
-    def entry(key: Column, value: Column) -> Column:
-        return F.struct(key.alias("key"), value.alias("value"))
-
-    none = F.lit(None).cast("string")
-    entries = [entry(F.lit(f), F.col(f)) for f in ("state", "district", "market", "commodity", "variety", "grade")]
-    entries += [
-        entry(F.when(_k(3), F.lit("arrivaldate")).otherwise(F.lit("arrival_date")), F.col("arrival_date")),
-        entry(F.lit("min_price"), F.when(_k(4), none).otherwise(price("min_price"))),
-        entry(F.when(_k(4), F.lit("minprice")), price("min_price")),
-        entry(F.lit("max_price"), price("max_price")),
-        entry(F.when(~_k(7), F.lit("modal_price")), price("modal_price")),
-        entry(F.when(_k(5), F.lit("extra")), F.lit("x")),
-    ]
-    record = F.map_from_entries(F.filter(F.array(*entries), lambda e: e["key"].isNotNull()))
+    def only(where: Column, key: str, value: Column) -> Column:
+        return F.when(where, F.create_map(F.lit(key), value)).otherwise(F.create_map().cast("map<string,string>"))
+
+    always = [x for f in ("state", "district", "market", "commodity", "variety", "grade") for x in (F.lit(f), F.col(f))]
+    always += [F.when(_k(3), F.lit("arrivaldate")).otherwise(F.lit("arrival_date")), F.col("arrival_date")]
+    always += [F.lit("min_price"), F.when(_k(4), F.lit(None).cast("string")).otherwise(text("min_price"))]
+    record = F.map_concat(
+        F.create_map(*always),
+        only(_k(4), "minprice", text("min_price")),
+        F.create_map(F.lit("max_price"), text("max_price")),
+        only(~_k(7), "modal_price", text("modal_price")),
+        only(_k(5), "extra", F.lit("x")),
+    )
     page = F.floor(F.col("k") / F.lit(page_size))
     # Rows move as they are and become JSON where their page is made; a shuffle of made records would be far wider.
-    whole = {c: F.floor(F.col(c)).cast("bigint") for c in PRICE_FIELDS}
+    rows = raw_k.withColumn("page_id", page).withColumns({c: price(c) for c in PRICE_FIELDS}).repartition("page_id")
+    records = F.concat_ws(",", F.collect_list("record"))
     pages = (
-        raw_k.withColumn("page_id", page)
-        .withColumns(whole)
-        .repartition("page_id")
+        rows.select("page_id", F.to_json(record).alias("record"))
         .groupBy("page_id")
-        .agg(F.count(F.lit(1)).alias("total"), F.collect_list(record).alias("records"))
-        .select("page_id", F.to_json(F.struct("total", "records")).alias("value"))
+        .agg(F.count(F.lit(1)).alias("total"), records.alias("records"))
+        .select("page_id", F.concat(F.lit('{"total":'), F.col("total").cast("string"), F.lit(',"records":['), "records", F.lit("]}")).alias("value"))
     )
     if odd_every is None:
         return pages.select("value")
