@@ -92,7 +92,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _scopes: list[list[str]] = []
 
 
-def written(spark: SparkSession, df: DataFrame, name: str, keep: bool = False, compression: str = "snappy") -> DataFrame:
+def written(spark: SparkSession, df: DataFrame, name: str, keep: bool = False, compression: str | None = None) -> DataFrame:
     """Write ``df`` under the session's shared checkpoint folder and read it back.
 
     Cuts the lineage at a table every executor can reach, so a lost executor
@@ -103,7 +103,7 @@ def written(spark: SparkSession, df: DataFrame, name: str, keep: bool = False, c
     owners = _scopes[:-1] if keep else _scopes
     if owners:
         owners[-1].append(path)
-    df.write.option("compression", compression).parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
