@@ -24,7 +24,7 @@ from pricelake.constants import LEGACY_PRICE_INDEX_COLUMN
 from pricelake.plans import sqlfunctions
 from pricelake.plans.landing import land_pages
 from pricelake.schema import RAW_FIELDS, Config
-from pricelake.session import application_scratch, scratch_path, written
+from pricelake.session import application_scratch, drop_paths, scratch_path, scratch_scope, shuffles_dropped, written
 from pricelake.sources import csv as csv_src
 from pricelake.sources import fixtures as fx
 from pricelake.sources import geo, headers, inventory, results
@@ -276,12 +276,23 @@ def q_land_pages(spark, sf_dir):
 
 
 def q_landing_inventory(spark, sf_dir):
-    """Every landed partition, compared by content with a second landing that lacks, adds and changes some."""
-    path, other = scratch_path(spark, "listed"), scratch_path(spark, "listed-again")
-    keyed = written(spark, fx.raw_with_key(spark, sf_dir), "keyed")
-    csv_src.land_raw_csv(keyed, path, key=fx.landing_key())
-    csv_src.land_raw_csv(fx.second_landing(keyed).repartition("k"), other, key=fx.landing_key())
-    found = inventory.compare_contents(inventory.content_inventory(spark, path), inventory.content_inventory(spark, other))
+    """Every landed partition, compared by content with a second landing that lacks, adds and changes some.
+
+    Only the inventory of a landing is kept: the first has left the disk when the second, dealt to other files, is written.
+    """
+    path, other, glob = scratch_path(spark, "listed"), scratch_path(spark, "listed-again"), "*.csv.gz"
+    with shuffles_dropped(spark), scratch_scope(spark) as scratch:
+        scratch += [path, other]
+        keyed = written(spark, fx.raw_with_key(spark, sf_dir), "keyed", compression="zstd")
+        csv_src.land_raw_csv(keyed, path, key=fx.landing_key(), compression="gzip")
+        before = written(spark, inventory.content_inventory(spark, path, glob), "inventory", keep=True)
+        drop_paths(spark, [path])
+        # One shuffle deals the rows by state and key: those of a state go to a quarter of its tasks at most.
+        deals = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+        again = fx.second_landing(keyed).withColumn("deal", F.pmod(F.xxhash64("k"), F.lit(deals))).repartition(fx.landing_key(), "deal")
+        csv_src.land_raw_csv(again, other, key=fx.landing_key(), compression="gzip", dealt=True)
+        after = written(spark, inventory.content_inventory(spark, other, glob), "inventory", keep=True)
+    found = inventory.compare_contents(before, after)
     return found.select("partition", "lines_before", "lines_after", "status", "matches")
 
 

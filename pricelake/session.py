@@ -123,6 +123,18 @@ def scratch_scope(spark: SparkSession, drop: bool = True) -> Iterator[list[str]]
         drop_paths(spark, paths)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of each action are deleted at its end; otherwise they stay until the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def drop_paths(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)

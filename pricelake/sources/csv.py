@@ -25,6 +25,8 @@ def land_raw_csv(
     key: Column | None = None,
     mode: str = "overwrite",
     dynamic_overwrite: bool = False,
+    compression: str | None = None,
+    dealt: bool = False,
 ) -> None:
     """Write raw rows as CSV files under ``<partition_col>=<value>/``.
 
@@ -34,16 +36,18 @@ def land_raw_csv(
     gets a few large files rather than one file per input task, while AQE
     still splits a state that holds a large share of the rows.
     ``dynamic_overwrite`` replaces only the partitions present in ``df``.
+    With ``compression`` (``gzip``, ...) files are named ``*.csv.gz`` and so on, and readers take such a glob.
+    ``dealt`` says that ``df`` comes balanced by its key already, so its rows are not shuffled once more.
     """
     key = F.col("state") if key is None else key
+    rows = df.select(*RAW_FIELDS, key.alias(partition_col))
     (
-        df.select(*RAW_FIELDS, key.alias(partition_col))
-        .hint("rebalance", partition_col)
+        (rows if dealt else rows.hint("rebalance", partition_col))
         .write.mode(mode)
         .options(**_WRITE_OPTIONS)
         .option("partitionOverwriteMode", "dynamic" if dynamic_overwrite else "static")
         .partitionBy(partition_col)
-        .csv(path)
+        .csv(path, compression=compression)
     )
 
 

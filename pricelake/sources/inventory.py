@@ -44,16 +44,17 @@ def content_inventory(spark: SparkSession, root: str, glob: str = "*.csv", heade
     """(partition, files, bytes, lines, content) for every matching file below ``root``.
 
     ``content`` is a hash of the multiset of lines, whatever their order and however they are dealt to files: two
-    sums of independent 64-bit line hashes. Sums are combined before the shuffle, a row per partition and task. Lines
-    equal to ``header`` do not count.
+    sums of independent 64-bit line hashes. Sums are combined before the shuffle, a row per file and task, and paths are
+    taken apart after it. Lines equal to ``header`` do not count.
     """
     lines = spark.read.text(root, recursiveFileLookup=True, pathGlobFilter=glob).select("value", F.col("_metadata.file_path").alias("path"))
     if header is not None:
         lines = lines.where(F.col("value") != header)
     wide = "decimal(38,0)"
-    sums = [F.sum(F.xxhash64("value", *seed).cast(wide)) for seed in ((), (F.lit("second"),))]
-    found = lines.groupBy(F.url_decode(_partition(F.col("path"))).alias("partition")).agg(
-        F.count(F.lit(1)).alias("lines"), F.sha2(F.concat_ws(":", *(s.cast("string") for s in sums)), 256).alias("content")
+    sums = {name: F.sum(F.xxhash64("value", *seed).cast(wide)) for name, seed in (("one", ()), ("two", (F.lit("second"),)))}
+    files = lines.groupBy("path").agg(F.count(F.lit(1)).alias("lines"), *(s.alias(name) for name, s in sums.items()))
+    found = files.groupBy(F.url_decode(_partition(F.col("path"))).alias("partition")).agg(
+        F.sum("lines").alias("lines"), F.sha2(F.concat_ws(":", *(F.sum(name).cast("string") for name in sums)), 256).alias("content")
     )
     listed = landing_inventory(spark, root, glob)
     return listed.join(found, "partition", "left").select("partition", "files", "bytes", F.coalesce("lines", F.lit(0)).alias("lines"), "content")
